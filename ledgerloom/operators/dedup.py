@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RECENCY = ("_ingest_date", "_loaded_at")
@@ -20,6 +20,7 @@ def latest_wins(df: DataFrame, keys: Sequence[str], ties: Sequence[str],
     The rank-equals-one filter lets Spark cut each input partition to one row per key before
     the shuffle, so a key with very many copies stays cheap.
     """
-    order = [F.col(c).desc_nulls_last() for c in (*recency, *ties)]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    order = ", ".join(f"`{c}` DESC NULLS LAST" for c in (*recency, *ties))
+    partition = ", ".join(f"`{k}`" for k in keys)
+    rank = F.expr(f"row_number() OVER (PARTITION BY {partition} ORDER BY {order}) AS _rank")
+    return df.select("*", rank).where("_rank = 1").drop("_rank")

@@ -18,22 +18,22 @@ def heavy_buckets(df: DataFrame, key: str, spread_rows: int, buckets: int = BUCK
     its partial counts are combined before the shuffle. A piece is ``spread_rows`` rows, or
     twice the mean bucket where the data is so large that an ordinary bucket exceeds that.
     """
-    load = (
-        df.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .agg(
-            F.sum("_rows").alias("_total"),
-            F.collect_list(F.struct("_bucket", "_rows")).alias("_load"),
-        )
-    )
-    piece = F.greatest(F.lit(float(spread_rows)), F.col("_total") * F.lit(2.0 / buckets))
+    load = df.groupBy(F.expr(f"{_bucket_of(key, buckets)} AS _bucket")).agg(
+        F.expr("count(1) AS _rows"))
+    whole = load.agg(F.expr("sum(_rows) AS _total"),
+                     F.expr("collect_list(struct(_bucket, _rows)) AS _load"))
     return (
-        load.select(piece.alias("_piece"), F.inline("_load"))
-        .filter(F.col("_rows") > F.col("_piece"))
-        .select("_bucket", F.ceil(F.col("_rows") / F.col("_piece")).cast("int").alias("_pieces"))
+        whole.selectExpr(f"greatest(double({spread_rows}), _total * {2 / buckets}D) AS _piece",
+                         "inline(_load)")
+        .where("_rows > _piece")
+        .selectExpr("_bucket", "int(ceil(_rows / _piece)) AS _pieces")
     )
 
 
+def _bucket_of(key: str, buckets: int) -> str:
+    return f"pmod(xxhash64(`{key}`), {buckets})"
+
+
 def spread_join(left: DataFrame, right: DataFrame, key: str, how: str, *,
                 spread_by: Sequence[str], spread_rows: int, load_from: DataFrame | None = None,
                 buckets: int = BUCKETS) -> DataFrame:
@@ -48,19 +48,16 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str, *,
     """
     heavy = F.broadcast(heavy_buckets(load_from if load_from is not None else left,
                                       key, spread_rows, buckets))
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    salt = F.pmod(F.xxhash64(*spread_by), F.col("_pieces"))
+    bucket = f"{_bucket_of(key, buckets)} AS _bucket"
+    row_hash = f"xxhash64({', '.join(f'`{c}`' for c in spread_by)})"
     salted_left = (
-        left.withColumn("_bucket", bucket)
-        .join(heavy, "_bucket", "left")
-        .withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
-        .drop("_bucket", "_pieces")
+        left.selectExpr("*", bucket).join(heavy, "_bucket", "left")
+        .selectExpr("* EXCEPT (_bucket, _pieces)",
+                    f"int(coalesce(pmod({row_hash}, _pieces), 0)) AS _salt")
     )
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - F.lit(1))
     salted_right = (
-        right.withColumn("_bucket", bucket)
-        .join(heavy, "_bucket", "left")
-        .withColumn("_salt", F.explode(salts))
-        .drop("_bucket", "_pieces")
+        right.selectExpr("*", bucket).join(heavy, "_bucket", "left")
+        .selectExpr("* EXCEPT (_bucket, _pieces)",
+                    "explode(sequence(0, coalesce(_pieces, 1) - 1)) AS _salt")
     )
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")

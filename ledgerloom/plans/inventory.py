@@ -7,10 +7,11 @@ there is no product-by-day cross join, no join back to the sales, and no shuffle
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import round_half_away, safe_ratio, spread_bucket
+from ledgerloom.operators.dedup import latest_wins
 from ledgerloom.params import Params
 
 # --- Fixed values: the supply factor runs from 0.2 up to 2.0 in steps of 1/1000 -----------
@@ -48,14 +49,13 @@ def _dense(daily: DataFrame) -> DataFrame:
     daily = daily.select("product_id", "category_pt", "category_en", "order_date", "units_sold",
                          "revenue")
     span = _span(daily)
-    product = Window.partitionBy("product_id")
-    history = product.orderBy("order_date")
-    sold = daily.select(
+    sold = daily.selectExpr(
         "*",
-        F.sum("units_sold").over(history.rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"),
-        F.sum("units_sold").over(product).alias("_total"),
-        F.lag("order_date").over(history).alias("_previous"),
-        F.lead("order_date").over(history).alias("_next"),
+        "sum(units_sold) OVER (PARTITION BY product_id ORDER BY order_date "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _cum",
+        "sum(units_sold) OVER (PARTITION BY product_id) AS _total",
+        "lag(order_date) OVER (PARTITION BY product_id ORDER BY order_date) AS _previous",
+        "lead(order_date) OVER (PARTITION BY product_id ORDER BY order_date) AS _next",
     )
     first_day, last_day = span.getField("first_day"), span.getField("last_day")
     begin = F.when(F.col("_previous").isNull(), first_day).otherwise(F.col("order_date"))
@@ -93,7 +93,10 @@ def inventory_grid(daily: DataFrame) -> DataFrame:
 
 
 def _ledger(state: DataFrame, params: Params) -> DataFrame:
-    """Stock columns of rows with cum_units, days_elapsed and expected_daily_demand."""
+    """Stock columns of rows with cum_units, days_elapsed and expected_daily_demand.
+
+    Later columns refer to earlier ones of the same select.
+    """
     demand = F.col("expected_daily_demand")
 
     def cover(days: int, floor: int) -> Column:
@@ -101,26 +104,25 @@ def _ledger(state: DataFrame, params: Params) -> DataFrame:
         return F.greatest(F.lit(floor), units).cast("bigint")
 
     restocks = F.floor(F.col("days_elapsed") / F.lit(params.restock_interval_days))
-    on_hand = F.col("total_supply") - F.col("cum_units")
-    return (
-        state.withColumn("_factor", stock_factor(F.col("product_id")))
-        .withColumn("opening_stock", cover(params.opening_stock_days, params.min_opening_stock))
-        .withColumn("restock_qty", cover(params.restock_cover_days, 1))
-        .withColumn("cum_replenishment", restocks.cast("bigint") * F.col("restock_qty"))
-        .withColumn("total_supply", F.col("opening_stock") + F.col("cum_replenishment"))
-        .withColumn("on_hand", on_hand)
-        .withColumn("on_hand_units", F.greatest(F.col("on_hand"), F.lit(0)))
-        .withColumn("reorder_point",
-                    F.ceil(demand * F.lit(float(params.reorder_point_days))).cast("bigint"))
-        .withColumn("days_of_supply",
-                    round_half_away(F.col("on_hand_units").cast("double") / demand, 1))
-        .withColumn("is_stockout_risk", F.col("on_hand") <= F.col("reorder_point"))
-        .withColumn("is_stockout", F.col("on_hand") <= 0)
-        .withColumn("is_overstock", F.col("days_of_supply") > params.overstock_days)
-        .withColumn("sell_through_rate", F.when(
-            F.col("total_supply") > 0,
-            round_half_away(safe_ratio(F.col("cum_units"), F.col("total_supply")), 4),
-        ).otherwise(F.lit(0.0)))
+    return state.select(
+        "*",
+        stock_factor(F.col("product_id")).alias("_factor"),
+        cover(params.opening_stock_days, params.min_opening_stock).alias("opening_stock"),
+        cover(params.restock_cover_days, 1).alias("restock_qty"),
+        (restocks.cast("bigint") * F.col("restock_qty")).alias("cum_replenishment"),
+        (F.col("opening_stock") + F.col("cum_replenishment")).alias("total_supply"),
+        (F.col("total_supply") - F.col("cum_units")).alias("on_hand"),
+        F.greatest(F.col("on_hand"), F.lit(0)).alias("on_hand_units"),
+        F.ceil(demand * F.lit(float(params.reorder_point_days))).cast("bigint")
+        .alias("reorder_point"),
+        round_half_away(F.col("on_hand_units").cast("double") / demand, 1)
+        .alias("days_of_supply"),
+        (F.col("on_hand") <= F.col("reorder_point")).alias("is_stockout_risk"),
+        (F.col("on_hand") <= 0).alias("is_stockout"),
+        (F.col("days_of_supply") > params.overstock_days).alias("is_overstock"),
+        F.when(F.col("total_supply") > 0,
+               round_half_away(safe_ratio(F.col("cum_units"), F.col("total_supply")), 4))
+        .otherwise(F.lit(0.0)).alias("sell_through_rate"),
     )
 
 
@@ -180,9 +182,7 @@ def health(positions: DataFrame) -> DataFrame:
 
 def inventory_health(positions: DataFrame) -> DataFrame:
     """Health from a ledger of any extent: each product's newest row."""
-    newest = Window.partitionBy("product_id").orderBy(F.col("inv_date").desc())
-    latest = positions.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1")
-    return health(latest)
+    return health(latest_wins(positions, ["product_id"], [], recency=["inv_date"]))
 
 
 def inventory_health_closed(daily: DataFrame, params: Params) -> DataFrame:
