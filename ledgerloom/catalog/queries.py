@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import to_double
 from ledgerloom.operators import checks, history, slicing, upsert
+from ledgerloom.operators.materialize import materialize
 from ledgerloom.plans import inventory, marts, sales, serving, staging
 from ledgerloom.plans.model_checks import model_checks, raw_checks
 from ledgerloom.session import prepare
@@ -56,21 +57,23 @@ class Models:
     def daily(self) -> DataFrame:
         return sales.daily_product_sales(self.enriched())
 
+    def stored_daily(self) -> DataFrame:
+        return materialize(self.daily(), "daily_sales")
+
     def brand_daily(self) -> DataFrame:
-        return sales.daily_product_sales(self.enriched("brand_items", "brand_products"))
+        """Daily sales per brand, stored because the ledger reads them twice."""
+        lines = self.enriched("brand_items", "brand_products")
+        return materialize(sales.daily_product_sales(lines), "brand_daily_sales")
 
     def fact(self) -> DataFrame:
         return marts.fct_daily_sales(self.daily())
 
     def early_fact(self) -> DataFrame:
-        """The fact as it stood before the lines shipped after their order's month came in."""
-        on_time = self._on_time_items()
-        return marts.fct_daily_sales(sales.daily_product_sales(self.enriched(raw_items=on_time)))
-
-    def _on_time_items(self) -> DataFrame:
-        newest = self.table("orders").agg(F.max("o_orderdate")).scalar()
-        return self.raw("order_items").filter(
-            F.col("ingest_date") <= F.date_sub(newest.cast("date"), 30))
+        """The fact as it stood before the lines of the last 30 days came in, stored as a table."""
+        newest = self.table("orders").agg(F.expr("max(date(o_orderdate))")).scalar()
+        on_time = self.raw("order_items").filter(F.col("ingest_date") <= F.date_sub(newest, 30))
+        daily = sales.daily_product_sales(self.enriched(raw_items=on_time))
+        return materialize(marts.fct_daily_sales(daily), "early_fact")
 
     def fact_batch(self, target: DataFrame) -> DataFrame:
         return upsert.trailing_batch(self.fact(), target, "order_date",
@@ -182,7 +185,7 @@ def _fact_upsert(m: Models) -> DataFrame:
 
 def _fact_upsert_twice(m: Models) -> DataFrame:
     target = m.early_fact()
-    batch = m.fact_batch(target)
+    batch = materialize(m.fact_batch(target), "fact_batch")
     return upsert.upsert(upsert.upsert(target, batch, FACT_KEYS), batch, FACT_KEYS)
 
 
@@ -213,22 +216,27 @@ def _scd2_products(m: Models) -> DataFrame:
 
 
 def _model_results(m: Models) -> DataFrame:
-    enriched, brand_daily = m.enriched(), m.brand_daily()
-    daily = sales.daily_product_sales(enriched)
+    """All model checks. Models that several others or their checks read are stored first."""
+    orders = materialize(staging.stg_orders(m.raw("orders")), "stg_orders")
+    items = materialize(staging.stg_order_items(m.raw("order_items")), "stg_order_items")
+    attributes = materialize(m.attributes(), "product_attributes")
+    enriched = materialize(sales.enriched_items(
+        items.select("order_id", "order_item_id", "product_id", "item_price", "units"),
+        orders.select("order_id", "order_status", "order_date"), attributes, PARAMS), "enriched")
+    daily = materialize(sales.daily_product_sales(enriched), "daily_sales")
     fact = marts.fct_daily_sales(daily)
-    attributes = m.attributes()
-    position = inventory.inventory_position(brand_daily, PARAMS)
+    brand_daily = m.brand_daily()
     models = {
         "seed_category_cost_ratio": cost_ratios(m.spark, PARAMS),
-        "stg_orders": staging.stg_orders(m.raw("orders")),
-        "stg_order_items": staging.stg_order_items(m.raw("order_items")),
+        "stg_orders": orders,
+        "stg_order_items": items,
         "stg_products": staging.stg_products(m.raw("products")),
         "stg_customers": staging.stg_customers(m.raw("customers")),
         "stg_category_translation":
             staging.stg_category_translation(m.raw("category_translation")),
         "int_order_items_enriched": enriched,
         "int_daily_product_sales": daily,
-        "int_inventory_position": position,
+        "int_inventory_position": inventory.inventory_position(brand_daily, PARAMS),
         "dim_product": marts.dim_product(attributes),
         "fct_daily_sales": fact,
         "mart_exec_kpis": marts.exec_kpis(fact),
@@ -267,7 +275,7 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "inventory_grid": _inventory_grid,
     "inventory_position": lambda m: m.position(),
     "inventory_health": lambda m: m.health(),
-    "inventory_health_product": lambda m: inventory.inventory_health_closed(m.daily(), PARAMS),
+    "inventory_health_product": lambda m: inventory.inventory_health_closed(m.stored_daily(), PARAMS),
     "inventory_status_breakdown": lambda m: serving.inventory_status_breakdown(m.health()),
     # Dashboard
     "kpi_headline": lambda m: serving.kpi_headline(m.kpis()),

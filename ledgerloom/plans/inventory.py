@@ -3,6 +3,9 @@
 The ledger is dense, one row per product and day, but only the sparse sales rows are shuffled
 and ordered. Each of them is then stretched over the days up to the product's next sale, so
 there is no product-by-day cross join, no join back to the sales, and no shuffle of the grid.
+
+The span of days is a scalar subquery over the same daily sales, so callers pass a stored or
+materialized table.
 """
 
 from __future__ import annotations
@@ -23,19 +26,10 @@ MIN_DAILY_DEMAND = 0.1
 
 
 def _span(daily: DataFrame) -> Column:
-    """First and last day with sales, as a scalar struct.
-
-    The totals ride along unused: with them the subquery needs the same columns as the ledger,
-    so Spark runs the daily aggregation once and reuses its shuffle.
-    """
-    return daily.agg(
-        F.struct(
-            F.min("order_date").alias("first_day"),
-            F.max("order_date").alias("last_day"),
-            F.sum("units_sold").alias("units_sold"),
-            F.sum("revenue").alias("revenue"),
-        ).alias("span")
-    ).scalar()
+    """First and last day with sales, as a scalar struct."""
+    return daily.agg(F.struct(
+        F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"),
+    ).alias("span")).scalar()
 
 
 def date_spine(daily: DataFrame) -> DataFrame:
@@ -146,14 +140,8 @@ def latest_position(daily: DataFrame, params: Params) -> DataFrame:
     whole span, so one aggregation per product is enough.
     """
     totals = daily.groupBy("product_id", "category_pt", "category_en").agg(
-        F.sum("units_sold").alias("cum_units"),
-        F.min("order_date").alias("_first"),
-        F.max("order_date").alias("_last"),
-    )
-    span = totals.agg(F.struct(
-        F.min("_first").alias("first_day"), F.max("_last").alias("last_day"),
-        F.sum("cum_units").alias("cum_units"),
-    ).alias("span")).scalar()
+        F.sum("units_sold").alias("cum_units"))
+    span = _span(daily)
     first_day, last_day = span.getField("first_day"), span.getField("last_day")
     elapsed = F.datediff(last_day, first_day)
     state = totals.select(
