@@ -54,6 +54,12 @@ class Params:
     overstock_days: int = 60
     min_opening_stock: int = 5
 
+    # Days of the ledger that a run checks; None checks all of them
+    ledger_check_days: int | None = None
+
+    # Checks, by model.column.test, whose failure is reported but does not fail the run
+    warn_only: tuple[str, ...] = ()
+
     # Raw checks
     max_money: int = 1_000_000
     freshness_warn_hours: int = 36

@@ -10,12 +10,15 @@ materialized table.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import round_half_away, safe_ratio, spread_bucket
 from ledgerloom.operators.dedup import latest_wins
 from ledgerloom.params import Params
+from ledgerloom.plans.sales import UNKNOWN
 
 # --- Fixed values: the supply factor runs from 0.2 up to 2.0 in steps of 1/1000 -----------
 FACTOR_BASE = 0.2
@@ -38,10 +41,21 @@ def date_spine(daily: DataFrame) -> DataFrame:
     return daily.agg(first, last).select(F.explode(F.sequence("first", "last")).alias("inv_date"))
 
 
-def _dense(daily: DataFrame) -> DataFrame:
+def _with_category(rows: DataFrame, attributes: DataFrame | None) -> DataFrame:
+    """Rows with the categories of ``attributes``, or with their own where that is None.
+
+    A product has at most one row per day here, so this join has no large key.
+    """
+    if attributes is None:
+        return rows
+    current = attributes.select("product_id", "category_pt", "category_en")
+    joined = rows.drop("category_pt", "category_en").join(current, "product_id", "left")
+    return joined.fillna(UNKNOWN, ["category_pt", "category_en"])
+
+
+def _dense(daily: DataFrame, attributes: DataFrame | None = None,
+           since: dt.date | None = None) -> DataFrame:
     """Every product on every day, zero-filled, with running and total units."""
-    daily = daily.select("product_id", "category_pt", "category_en", "order_date", "units_sold",
-                         "revenue")
     span = _span(daily)
     sold = daily.selectExpr(
         "*",
@@ -54,7 +68,10 @@ def _dense(daily: DataFrame) -> DataFrame:
     first_day, last_day = span.getField("first_day"), span.getField("last_day")
     begin = F.when(F.col("_previous").isNull(), first_day).otherwise(F.col("order_date"))
     until = F.coalesce(F.date_sub("_next", 1), last_day)
-    stretched = sold.withColumn("inv_date", F.explode(F.sequence(begin, until)))
+    if since is not None:
+        begin = F.greatest(begin, F.lit(since))
+    days = F.when(begin <= until, F.sequence(begin, until))
+    stretched = _with_category(sold, attributes).withColumn("inv_date", F.explode(days))
     is_sale_day = F.col("inv_date") == F.col("order_date")
     zero_money = F.lit(0).cast(daily.schema["revenue"].dataType)
     return stretched.select(
@@ -120,9 +137,10 @@ def _ledger(state: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def inventory_position(daily: DataFrame, params: Params) -> DataFrame:
-    """The whole ledger, one row per product and day."""
-    return _ledger(_dense(daily), params).select(
+def inventory_position(daily: DataFrame, params: Params, attributes: DataFrame | None = None,
+                       since: dt.date | None = None) -> DataFrame:
+    """The ledger, one row per product and day, or its days from ``since`` on."""
+    return _ledger(_dense(daily, attributes, since), params).select(
         "product_id", "category_pt", "category_en", "inv_date",
         F.col("units_sold").cast("bigint").alias("units_sold"),
         F.col("revenue").cast("double").alias("revenue"),
@@ -133,18 +151,20 @@ def inventory_position(daily: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def latest_position(daily: DataFrame, params: Params) -> DataFrame:
+def latest_position(daily: DataFrame, params: Params,
+                    attributes: DataFrame | None = None) -> DataFrame:
     """The ledger's last day, without building the days before it.
 
     On the last day the running units are the product's total and the elapsed days are the
     whole span, so one aggregation per product is enough.
     """
-    totals = daily.groupBy("product_id", "category_pt", "category_en").agg(
-        F.sum("units_sold").alias("cum_units"))
+    keys = ["product_id"] if attributes is not None else ["product_id", "category_pt",
+                                                          "category_en"]
+    totals = daily.groupBy(*keys).agg(F.sum("units_sold").alias("cum_units"))
     span = _span(daily)
     first_day, last_day = span.getField("first_day"), span.getField("last_day")
     elapsed = F.datediff(last_day, first_day)
-    state = totals.select(
+    state = _with_category(totals, attributes).select(
         "product_id", "category_pt", "category_en", "cum_units",
         last_day.alias("inv_date"),
         elapsed.alias("days_elapsed"),
@@ -173,6 +193,7 @@ def inventory_health(positions: DataFrame) -> DataFrame:
     return health(latest_wins(positions, ["product_id"], [], recency=["inv_date"]))
 
 
-def inventory_health_closed(daily: DataFrame, params: Params) -> DataFrame:
+def inventory_health_closed(daily: DataFrame, params: Params,
+                            attributes: DataFrame | None = None) -> DataFrame:
     """Health straight from daily sales, for catalogues of any size."""
-    return health(latest_position(daily, params))
+    return health(latest_position(daily, params, attributes))

@@ -39,8 +39,12 @@ def read_audit(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, audit_path(root), AUDIT_SCHEMA)
 
 
+def as_row(record: RunRecord) -> tuple:
+    return astuple(record)
+
+
 def append_run(spark: SparkSession, root: str, record: RunRecord) -> None:
-    row = spark.createDataFrame([astuple(record)], AUDIT_SCHEMA)
+    row = spark.createDataFrame([as_row(record)], AUDIT_SCHEMA)
     row.coalesce(1).write.mode("append").parquet(audit_path(root))
 
 
