@@ -90,6 +90,8 @@ def daily_totals(events: DataFrame, lateness: str | None = None) -> DataFrame:
     it, which bounds the state.
     """
     if lateness is not None:
+        # Event time of a stream must be a zoned timestamp; the session zone is UTC.
+        events = events.withColumn("ts", F.col("ts").cast("timestamp"))
         events = events.withWatermark("ts", lateness)
     return (
         events.groupBy(F.window("ts", "1 day"), "event_type")
