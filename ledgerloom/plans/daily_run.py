@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import checks, slicing
 from ledgerloom.operators.conform import conform
 from ledgerloom.operators.dedup import latest_wins
-from ledgerloom.operators.history import apply_snapshot, empty_history
+from ledgerloom.operators.history import apply_snapshot
 from ledgerloom.operators.upsert import trailing_start, upsert
 from ledgerloom.params import Params
 from ledgerloom.plans import inventory, marts, sales, staging
@@ -33,7 +33,9 @@ from ledgerloom.plans.model_checks import (
 )
 from ledgerloom.session import prepare
 from ledgerloom.sinks import publish
-from ledgerloom.sinks.tables import drop_days, replace, store, write_days
+from ledgerloom.sinks.tables import (
+    drop_days, read_version, replace, store, write_days, write_version,
+)
 from ledgerloom.sources import audit, contracts, files, lake
 from ledgerloom.sources.seed import cost_ratios
 
@@ -180,24 +182,45 @@ def _gate_since(job: Job, window: Window) -> dt.date | None:
     return window.start if last == "PASS" else None
 
 
-def current_dimension(job: Job, table: str, window: Window | None) -> DataFrame:
+def current_dimension(job: Job, table: str, window: Window | None,
+                      relanded: bool = True) -> DataFrame:
     """Newest raw row per key over all snapshots of a dimension.
 
-    The stored current version is merged with the window's snapshots when these are newer than
-    all it has seen; otherwise, as in a backfill, it is rebuilt from the lake.
+    Only snapshots newer than the stored current version are merged into it. Where the window
+    may have replaced snapshots it has already seen, it is rebuilt from the lake instead.
     """
     keys, ties = DIMENSIONS[table]
     path = job.model(f"current_{table}")
-    raw = lake.read_raw(job.spark, job.root, table)
     columns = [*keys, *ties, "_ingest_date", "_loaded_at"]
-    schema = raw.select(*columns).schema
-    stored = lake.read_table(job.spark, path, schema)
+    raw = lake.read_raw(job.spark, job.root, table)
+    stored = read_version(job.spark, path, raw.select(*columns).schema)
     newest = stored.agg(F.max("_ingest_date")).first()[0]
-    if window is not None and newest is not None and newest < window.start.isoformat():
-        rows = stored.unionByName(raw.filter(window.contains("ingest_date")).select(*columns))
+    if newest is None or window is None or (relanded and newest >= window.start.isoformat()):
+        rows = raw
+    elif newest >= window.end.isoformat():
+        return stored
     else:
-        rows = raw.select(*columns)
-    return replace(latest_wins(rows, keys, ties), path)
+        unseen = raw.filter(F.col("ingest_date") > F.lit(newest).cast("date"))
+        rows = stored.unionByName(unseen.select(*columns))
+    return write_version(latest_wins(rows.select(*columns), keys, ties), path)
+
+
+def build_dimensions(job: Job, window: Window | None, relanded: bool = True
+                     ) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The staged dimensions and the stored attributes of every product."""
+    current = {t: current_dimension(job, t, window, relanded) for t in DIMENSIONS}
+    staged = {
+        "seed_category_cost_ratio": cost_ratios(job.spark, job.params),
+        "stg_products": staging.stg_products(current["products"]),
+        "stg_customers": staging.stg_customers(current["customers"]),
+        "stg_category_translation":
+            staging.stg_category_translation(current["category_translation"]),
+    }
+    attributes = store(
+        sales.product_attributes(staged["stg_products"], staged["stg_category_translation"],
+                                 staged["seed_category_cost_ratio"], job.params),
+        job.model("product_attributes"))
+    return staged, attributes
 
 
 def reprocess_from(job: Job, window: Window | None) -> dt.date | None:
@@ -279,27 +302,15 @@ def build_models(job: Job, window: Window | None) -> tuple[int, dict[str, DataFr
     """Rebuild what the window touches, or everything without one; return checks passed."""
     spark, params = job.spark, job.params
     since = reprocess_from(job, window)
-    current = {t: current_dimension(job, t, window) for t in DIMENSIONS}
-    stored: dict[str, DataFrame] = {
-        "seed_category_cost_ratio": cost_ratios(spark, params),
-        "stg_products": staging.stg_products(current["products"]),
-        "stg_customers": staging.stg_customers(current["customers"]),
-        "stg_category_translation":
-            staging.stg_category_translation(current["category_translation"]),
-    }
-    attributes = store(
-        sales.product_attributes(stored["stg_products"], stored["stg_category_translation"],
-                                 stored["seed_category_cost_ratio"], params),
-        job.model("product_attributes"))
+    stored, attributes = build_dimensions(job, window)
     passed, fact = build_sales(job, since, attributes, stored)
     recent_fact = _from(fact, "order_date", since)
 
     path = job.model("product_history")
     snapshot = stored["stg_products"].select("product_id", "category_pt")
-    history = lake.read_table(spark, path, HISTORY_SCHEMA)
-    if history.isEmpty():
-        history = empty_history(snapshot)
-    replace(apply_snapshot(history, snapshot, "product_id", ["category_pt"], job.clock()), path)
+    history = read_version(spark, path, HISTORY_SCHEMA)
+    write_version(
+        apply_snapshot(history, snapshot, "product_id", ["category_pt"], job.clock()), path)
 
     dim = store(conform(marts.dim_product(attributes), "dim_product"), job.mart("dim_product"))
     kpis = conform(marts.exec_kpis(recent_fact), "mart_exec_kpis")

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ledgerloom.operators.materialize import materialize
 
@@ -17,10 +18,50 @@ def store(df: DataFrame, path: str) -> DataFrame:
 
 
 def replace(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path`` with a frame that may read that table."""
+    """Replace a table that can be rebuilt with a frame that may read that table."""
     return store(materialize(df, path.rstrip("/").rsplit("/", 1)[-1]), path)
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop path and file system, so any store Spark can write to works."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Finished versions of a table, oldest first."""
+    target, fs = _files(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(target)]
+    return sorted(n for n in names if n.startswith("v")
+                  and fs.exists(_files(spark, f"{path}/{n}/_SUCCESS")[0]))
+
+
+def read_version(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The newest finished version of a table, or an empty frame before the first."""
+    finished = _versions(spark, path)
+    if not finished:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{finished[-1]}")
+
+
+def write_version(df: DataFrame, path: str) -> DataFrame:
+    """Write the next version of a table whose history cannot be rebuilt; ``df`` may read it.
+
+    Readers see the old version until the new one is complete, so a run that dies on the way
+    loses nothing. The version before the new one is kept, older ones are deleted.
+    """
+    spark = df.sparkSession
+    finished = _versions(spark, path)
+    number = int(finished[-1][1:]) + 1 if finished else 1
+    written = store(df, f"{path}/v{number:010d}")
+    for old in finished[:-1]:
+        target, fs = _files(spark, f"{path}/{old}")
+        fs.delete(target, True)
+    return written
+
+
 def write_days(df: DataFrame, path: str, day_column: str) -> None:
     """Replace the day partitions present in ``df`` and leave the others alone.
 
@@ -36,9 +77,7 @@ def write_days(df: DataFrame, path: str, day_column: str) -> None:
 
 def drop_days(spark: SparkSession, path: str, day_column: str, days: Iterable[dt.date]) -> None:
     """Delete whole day partitions, which a dynamic overwrite without rows for them keeps."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
     for day in days:
-        partition = hadoop_path(f"{path}/{day_column}={day.isoformat()}")
-        partition.getFileSystem(conf).delete(partition, True)
+        partition, fs = _files(spark, f"{path}/{day_column}={day.isoformat()}")
+        fs.delete(partition, True)
     spark.catalog.refreshByPath(path)

@@ -8,12 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.functions import parse_date
 from ledgerloom.operators.dedup import latest_wins
-from ledgerloom.plans import daily_run, sales, staging
+from ledgerloom.plans import daily_run
 from ledgerloom.plans.daily_run import Job
-from ledgerloom.sinks.tables import replace
+from ledgerloom.sinks.tables import read_version, write_version
 from ledgerloom.sources import lake
 from ledgerloom.sources.files import EVENT_TIME
-from ledgerloom.sources.seed import cost_ratios
 
 EVENT_VALUE = "decimal(18,2)"
 
@@ -33,20 +32,13 @@ def refresh_fact(job: Job, batch: DataFrame) -> None:
     The days are rebuilt from the lake, so a late or repeated order, an order split over
     batches and a replay of the whole batch all end in the same fact.
     """
-    first_day = batch.agg(F.min(parse_date(F.col(EVENT_TIME)))).first()[0]
+    first_day, first_ingest, last_ingest = batch.agg(
+        F.min(parse_date(F.col(EVENT_TIME))), F.min("ingest_date"), F.max("ingest_date")).first()
     if first_day is None:
         return
-    raw = {t: lake.read_raw(job.spark, job.root, t) for t in daily_run.DIMENSIONS}
-    attributes = sales.product_attributes(
-        staging.stg_products(raw["products"]),
-        staging.stg_category_translation(raw["category_translation"]),
-        cost_ratios(job.spark, job.params), job.params)
-    daily_run.build_sales(job, first_day, attributes, {
-        "seed_category_cost_ratio": cost_ratios(job.spark, job.params),
-        "stg_products": staging.stg_products(raw["products"]),
-        "stg_customers": staging.stg_customers(raw["customers"]),
-        "stg_category_translation": staging.stg_category_translation(raw["category_translation"]),
-    })
+    window = daily_run.Window(first_ingest, last_ingest)
+    staged, attributes = daily_run.build_dimensions(job, window, relanded=False)
+    daily_run.build_sales(job, first_day, attributes, staged)
 
 
 def stream_fact(job: Job, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
@@ -70,8 +62,8 @@ def merge_latest(batch: DataFrame, path: str, keys: tuple[str, ...], ties: tuple
     """
     columns = [*keys, *ties, "_ingest_date", "_loaded_at"]
     batch = batch.select(*columns)
-    stored = lake.read_table(batch.sparkSession, path, batch.schema)
-    replace(latest_wins(stored.unionByName(batch), keys, ties), path)
+    stored = read_version(batch.sparkSession, path, batch.schema)
+    write_version(latest_wins(stored.unionByName(batch), keys, ties), path)
 
 
 def stream_latest(stream: DataFrame, path: str, keys: tuple[str, ...], ties: tuple[str, ...],

@@ -11,6 +11,7 @@ from ledgerloom.params import Params
 from ledgerloom.plans import daily_run as dr
 from ledgerloom.plans.marts import reconciliation
 from ledgerloom.sinks import publish
+from ledgerloom.sinks.tables import read_version, write_version
 from ledgerloom.sources import audit, lake
 from ledgerloom.sources.contracts import SchemaDrift
 from ledgerloom.sources.files import read_source, source_dir
@@ -84,7 +85,7 @@ def test_daily_runs_to_the_end_of_the_source(shop):
     assert (tile["pipeline_health"], tile["tests_passed"]) == ("PASSING", 54)
     assert tile["data_through_date"] == rf.day(9)
 
-    history = spark.read.schema(dr.HISTORY_SCHEMA).parquet(job.model("product_history"))
+    history = read_version(spark, job.model("product_history"), dr.HISTORY_SCHEMA)
     of_p0 = history.filter("product_id = 'p0'").orderBy("valid_from").collect()
     assert [r["category_pt"] for r in of_p0] == ["cama_mesa_banho", "beleza_saude"]
     assert of_p0[0]["valid_to"] == of_p0[1]["valid_from"] and of_p0[1]["valid_to"] is None
@@ -213,6 +214,19 @@ def test_partitions_of_different_columns_are_united(spark, tmp_path):
     assert [r["product_id"] for r in pruned.collect()] == ["b"]
 
 
+def test_unfinished_versions_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert read_version(spark, path, "id bigint").count() == 0
+    for n in range(1, 4):
+        seen = read_version(spark, path, "id bigint")
+        write_version(seen.unionByName(spark.range(n)), path)
+    assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["v0000000002", "v0000000003"]
+    spark.range(99).write.parquet(f"{path}/v0000000004")
+    (tmp_path / "table" / "v0000000004" / "_SUCCESS").unlink()
+    assert read_version(spark, path, "id bigint").count() == 6
+    assert write_version(spark.range(1), path).count() == 1
+
+
 def test_serving_projection(spark):
     mart = spark.createDataFrame([("a", True, None)], "product_id string, x boolean, y boolean")
     served = publish.serving_projection(mart, upper=True)
