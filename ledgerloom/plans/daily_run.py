@@ -109,32 +109,31 @@ def check_contracts(job: Job, sources: Mapping[str, DataFrame], day: dt.date) ->
         raise contracts.SchemaDrift(text)
 
 
-def plan(job: Job, orders: DataFrame, start: dt.date | None = None,
+def plan(job: Job, bounds: DataFrame, start: dt.date | None = None,
          end: dt.date | None = None) -> Window | None:
     """Days of the next run. The cap on days holds unless both ends are given."""
     days = slicing.plan_window(
-        files.event_bounds(orders), audit.watermark(audit.read_audit(job.spark, job.root)),
+        bounds, audit.watermark(audit.read_audit(job.spark, job.root)),
         job.params.max_days_per_run, start, end)
     first, last = days.agg(F.min("business_day"), F.max("business_day")).first()
     return None if first is None else Window(first, last)
 
 
+def set_aside_unreadable(job: Job, orders: DataFrame, day: dt.date) -> None:
+    """Quarantine orders without a readable time; they belong to no day and would be lost."""
+    lake.quarantine(orders.filter(files.event_date().isNull()), job.root, "orders", day,
+                    [f"unreadable {files.EVENT_TIME}"], job.clock())
+
+
 def land_window(job: Job, sources: Mapping[str, DataFrame], window: Window) -> int:
     """Land all tables for all days of the window; return the rows landed.
 
-    Orders without a readable time belong to no day. They go to quarantine instead of being
-    lost. Landing alone moves no watermark.
+    Landing alone moves no watermark.
     """
     spark, root = job.spark, job.root
     loaded_at = job.clock().strftime("%Y-%m-%d %H:%M:%S")
     lookback = job.params.lookback_days
 
-    orders = sources["orders"]
-    unreadable = orders.filter(files.event_date().isNull())
-    if not unreadable.isEmpty():
-        lake.quarantine(unreadable, root, "orders", window.start,
-                        [f"unreadable {files.EVENT_TIME}"], job.clock())
-
     def write(table: str, df: DataFrame) -> None:
         path = lake.raw_path(root, table)
         lake.land(df, path, loaded_at)
@@ -142,7 +141,7 @@ def land_window(job: Job, sources: Mapping[str, DataFrame], window: Window) -> i
         stale = landed.filter(F.col("_loaded_at") != loaded_at).select("ingest_date").distinct()
         drop_days(spark, path, "ingest_date", [r[0] for r in stale.collect()])
 
-    write("orders", slicing.slice_orders(orders, window.start, window.end, lookback))
+    write("orders", slicing.slice_orders(sources["orders"], window.start, window.end, lookback))
     landed_orders = lake.read_raw(spark, root, "orders").filter(window.contains("ingest_date"))
     write("order_items", slicing.slice_items(
         sources["order_items"], landed_orders.select("order_id", "ingest_date"),
@@ -351,12 +350,16 @@ def run(job: Job, mode: str = "incremental", start: dt.date | None = None,
     try:
         sources = files.read_sources(spark, job.source_dir, job.source_files)
         check_contracts(job, sources, start or started.date())
-        window = plan(job, sources["orders"], start, end)
+        first_day, last_day, unreadable = files.event_profile(sources["orders"]).first()
+        bounds = spark.createDataFrame([(first_day, last_day)], "first_day date, last_day date")
+        window = plan(job, bounds, start, end)
         if window is None:
             _record(job, with_fields(record, status="NOOP"))
             return Outcome("NOOP")
         record = with_fields(record, window_start=window.start, window_end=window.end)
         since = _gate_since(job, window)
+        if unreadable:
+            set_aside_unreadable(job, sources["orders"], window.start)
         rows = land_window(job, sources, window)
         record = with_fields(record, rows_extracted=rows)
         gate_raw(job, since)

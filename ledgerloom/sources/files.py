@@ -58,3 +58,10 @@ def event_bounds(orders: DataFrame) -> DataFrame:
     """First and last business day of the orders, one row; unreadable times are ignored."""
     day = event_date()
     return orders.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+
+
+def event_profile(orders: DataFrame) -> DataFrame:
+    """``event_bounds`` with the number of orders whose time is unreadable, in one scan."""
+    day = event_date()
+    return orders.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"),
+                      F.count_if(day.isNull()).alias("unreadable"))
