@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import to_double
@@ -144,10 +144,10 @@ def _window(m: Models) -> DataFrame:
                                audit.watermark(m.audit()), PARAMS.max_days_per_run)
 
 
-def _window_bounds(m: Models):
-    days = _window(m).agg(F.struct(F.min("business_day").alias("start"),
-                                   F.max("business_day").alias("end"))).scalar()
-    return days.getField("start"), days.getField("end")
+def _window_bounds(m: Models) -> list[Column]:
+    """First and last day of the next run, read as one row; nulls when there is none."""
+    days = _window(m).agg(F.min("business_day"), F.max("business_day")).first()
+    return [F.lit(day).cast("date") for day in days]
 
 
 def _dimension_daily_snapshot(m: Models) -> DataFrame:
