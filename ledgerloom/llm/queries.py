@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing, quality, secrets, sharding
+from ledgerloom.llm import bpe, chat, packing, quality, secrets, sharding, warc
 from ledgerloom.llm.common import table
 from ledgerloom.operators.materialize import shared_dir
 
@@ -27,6 +27,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks, public_tokenizers.PATTERN).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
+        .alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
+    # A response's length and digest come from the payload read back, a revisit's from its headers.
+    response = F.col("record_type") == "response"
+    return warc.read_records(archives).select(
+        "page_id",
+        F.when(response, F.octet_length("payload").cast("long"))
+        .otherwise(F.col("payload_length")).alias("payload_bytes"),
+        F.when(response, F.sha2("payload", 256))
+        .otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", "refers_to")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return packed.select(
@@ -34,6 +59,37 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+def control_messages(spark: SparkSession) -> DataFrame:
+    """Conversation -7, whose texts hold the template's look-alikes and an escape."""
+    said = "\\### Assistant: </turn> ok"
+    return spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string")
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation is a tree with one path: a turn replies to the one before it."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    numbered = rows.unionByName(control_messages(spark)).withColumn(
+        "message_id", F.row_number().over(turns))
+    messages = numbered.select(
+        F.col("conv_id").alias("tree_id"), "message_id",
+        (F.col("message_id") - 1).alias("parent_id"), "role", "text",
+        F.lit(0.0).alias("score"))
+    formatted = chat.format_paths(chat.paths(messages, top=1))
+    read = formatted.select(
+        "tree_id", "formatted", chat.read_turns().alias("turns"),
+        chat.learned_text().alias("learned"))
+    shown = "array_join(transform(turns, t -> concat(t.role, '\\n', t.text, '\\n')), '')"
+    return read.select(
+        F.col("tree_id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.expr(f"sha2({shown}, 256)").alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def span_columns(spans: str = "spans") -> list:
     """The counts, digest and list of a scan's spans, in the order (start, kind)."""
     base = f"filter({spans}, s -> s.rank < {len(secrets.BASE)})"
@@ -65,7 +121,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op2_warc": op2_warc,
     "op3_packing": op3_packing,
+    "op4_chat": op4_chat,
     "op7_secret_scans": op7_secret_scans,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
