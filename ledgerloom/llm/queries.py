@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, packing, quality, secrets, sharding, warc
+from ledgerloom.llm import bpe, chat, fingerprints, minhash, packing, quality, secrets, sharding, warc
 from ledgerloom.llm.common import table
 from ledgerloom.operators.materialize import shared_dir
 
@@ -90,6 +90,19 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = fingerprints.with_next(table(spark, sf_dir, "documents")).withColumn(
+        "edited", fingerprints.edited()).select(
+            "*", F.length("text").cast("long").alias("n_chars"),
+            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    found = fingerprints.compare(versions, "text", ["edited", "next_text"], digests=False,
+                                 carry={"n_chars": "long", "edited_sha256": "string"})
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", F.col("text_fingerprint").alias("fingerprint"),
+        "edited_fingerprint", F.col("edited_likeness").alias("near_edited"),
+        F.col("next_text_likeness").alias("near_next"))
+
+
 def span_columns(spans: str = "spans") -> list:
     """The counts, digest and list of a scan's spans, in the order (start, kind)."""
     base = f"filter({spans}, s -> s.rank < {len(secrets.BASE)})"
@@ -120,12 +133,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *quality.MEASURES[:5], base.alias("base_failed"), "kept", "failed_bits")
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
     "op3_packing": op3_packing,
     "op4_chat": op4_chat,
+    "op6_fingerprints": op6_fingerprints,
     "op7_secret_scans": op7_secret_scans,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
+    "op10_minhash": op10_minhash,
 }
