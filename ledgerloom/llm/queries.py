@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, fingerprints, minhash, packing, quality, secrets, sharding, warc
+from ledgerloom.llm import (
+    bpe,
+    chat,
+    fingerprints,
+    minhash,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    suffix_dedup,
+    warc,
+)
 from ledgerloom.llm.common import table
 from ledgerloom.operators.materialize import shared_dir
 
@@ -90,6 +101,11 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = fingerprints.with_next(table(spark, sf_dir, "documents")).withColumn(
         "edited", fingerprints.edited()).select(
@@ -143,6 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_packing": op3_packing,
     "op4_chat": op4_chat,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op7_secret_scans": op7_secret_scans,
     "op8_sharding": op8_sharding,
