@@ -10,18 +10,33 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import packing, quality, queries, secrets
+from ledgerloom.llm import minhash, packing, quality, queries, secrets, suffix_dedup
 from ledgerloom.llm.common import ship, table
 from ledgerloom.operators.materialize import materialize
 
 Docs = DataFrame
 
+# A pair at similarity 0.8 is missed with probability 2 * (1 - 0.8**3)**14 = 9e-5.
+NEAR = minhash.Settings(words=5, percent=80, tables=14)
+
 
 def quality_rules(spark: SparkSession, docs: Docs, sf_dir: str) -> Docs:
     """Documents that pass every quality rule."""
     return quality.keep_documents(docs, quality.DEFAULT)
 
 
+def near_dedup(spark: SparkSession, docs: Docs, sf_dir: str) -> Docs:
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8."""
+    ship(spark)
+    return minhash.keep_one(docs, NEAR)
+
+
+def repeated_passages(spark: SparkSession, docs: Docs, sf_dir: str) -> Docs:
+    """All documents, without what an earlier document or place has."""
+    ship(spark)
+    return suffix_dedup.deduplicate(docs)
+
+
 def secret_scans(spark: SparkSession, docs: Docs, sf_dir: str) -> Docs:
     """All documents, found secrets masked."""
     ledger = secrets.Ledger(spark, queries.scratch(spark, "pipeline_ledger"))
@@ -36,6 +51,8 @@ def pack(spark: SparkSession, docs: Docs, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("repeated_passages", repeated_passages),
     ("secret_scans", secret_scans),
     ("packing", pack),
 ]

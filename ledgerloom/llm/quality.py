@@ -146,4 +146,6 @@ def keep_documents(docs: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
                          text_or_empty().alias("_rated"))
     measured = _measured(packed, F.col("_rated"), [F.col(row)])
     kept = apply_policy(measured.withColumn("failed_bits", _bits(RULES)), policy)
-    return kept.where("kept").select(f"{row}.*")
+    # A filter would be moved below the measurements and repeat their expressions many times over.
+    return kept.select(F.explode(F.expr(f"IF(kept, array(`{row}`), array())")).alias(row)).select(
+        f"{row}.*")
