@@ -1,5 +1,198 @@
-"""DuckDB SQL for the operators' queries that SQL can express."""
+"""DuckDB SQL for the operators' queries that SQL can express.
+
+Tokenising, sketches and CRC-32 sums are not expressible; those queries have brute-force tests.
+"""
 
 from __future__ import annotations
 
-CHECK_SQL: dict[str, str] = {}
+from ledgerloom.llm.quality import RULES
+from ledgerloom.llm.secrets import BASE
+from ledgerloom.llm.secrets import RULES as SECRET_RULES
+
+WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+OP2 = """
+WITH pages_ AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS h
+                FROM pages),
+first AS (SELECT h, min(page_id) AS first_page FROM pages_ WHERE n >= 100 GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+       CASE WHEN first_page < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_page < page_id THEN first_page END AS refers_to
+FROM pages_ LEFT JOIN first USING (h)
+"""
+
+OP4 = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+measured AS (
+    SELECT *, 14 + length(role) + length(text)
+        + length(regexp_replace(role, '[^\\#<:]', '', 'g'))
+        + length(regexp_replace(text, '[^\\#<]', '', 'g')) AS chars
+    FROM turns
+),
+joined AS (
+    SELECT conv_id, count(*) AS n_turns, sum(chars) AS chars,
+           string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+           coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                    FILTER (WHERE role = 'assistant'), '') AS learned
+    FROM measured GROUP BY conv_id
+)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256,
+       CAST(length(learned) AS BIGINT) AS loss_chars, sha256(learned) AS loss_sha256,
+       CAST(chars AS BIGINT) AS formatted_chars
+FROM joined
+"""
+
+OP5 = """
+WITH texts AS (
+    SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h
+    FROM documents
+),
+windows AS (
+    SELECT doc_id, i, md5(substr(h, CAST(2 * i + 1 AS BIGINT), 200)) AS w
+    FROM texts, unnest(range(0, greatest(n - 99, 0))) AS r(i)
+),
+again AS (
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS place
+        FROM windows) WHERE place > 1
+),
+marked AS (
+    SELECT doc_id, i, CASE WHEN i > lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) + 100
+                           THEN 1 ELSE 0 END AS opens FROM again
+),
+runs AS (
+    SELECT doc_id, min(i) AS a, max(i) + 100 AS z
+    FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked)
+    GROUP BY doc_id, run
+),
+gaps AS (
+    SELECT doc_id, z AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM runs
+    UNION ALL SELECT doc_id, 0, min(a) FROM runs GROUP BY doc_id
+),
+kept AS (
+    SELECT doc_id, string_agg(substr(h, CAST(2 * g.a + 1 AS BIGINT),
+                                     CAST(2 * (coalesce(g.z, n) - g.a) AS BIGINT)), ''
+                              ORDER BY g.a) AS h
+    FROM gaps AS g JOIN texts USING (doc_id) GROUP BY doc_id
+),
+counted AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans FROM runs GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept.h, texts.h))) AS kept_sha256
+FROM texts LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _secret_parts() -> str:
+    """One relation of (doc_id, kind, rank, s, e) per rule: running lengths of gaps and matches."""
+    parts = []
+    for rank, rule in enumerate(SECRET_RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"""
+    SELECT doc_id, '{rule.kind}' AS kind, {rank} AS rank, e - length(m) AS s, e FROM (
+        SELECT doc_id, m, d, sum(length(p) + length(m)) OVER (
+            PARTITION BY doc_id ORDER BY i) AS e
+        FROM (SELECT doc_id, i, matches[i] AS m, groups[i] AS d, pieces[i] AS p
+              FROM (SELECT doc_id, regexp_split_to_array(t, '{pattern}') AS pieces,
+                           regexp_extract_all(t, '{pattern}', 0) AS matches,
+                           regexp_extract_all(t, '{pattern}', {rule.group}) AS groups
+                    FROM texts WHERE regexp_matches(t, '{pattern}')),
+                   unnest(range(1, len(matches) + 1)) AS r(i))
+    ) WHERE length(d) >= {rule.least}""")
+    return " UNION ALL ".join(parts)
+
+
+OP7 = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({_secret_parts()}),
+listed AS (
+    SELECT doc_id,
+           {", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in BASE)},
+           string_agg(concat(kind, ':', CAST(s AS BIGINT), ':', CAST(e AS BIGINT)), ','
+                      ORDER BY s, rank) FILTER (WHERE rank < {len(BASE)}) AS base,
+           string_agg(concat(kind, ':', CAST(s AS BIGINT), ':', CAST(e AS BIGINT)), ','
+                      ORDER BY s, rank) AS every
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"CAST(coalesce(n_{r.kind}, 0) AS BIGINT) AS n_{r.kind}" for r in BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM texts LEFT JOIN listed USING (doc_id)
+"""
+
+OP9 = rf"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+split AS (
+    SELECT doc_id, {WORDS.format('t')} AS w,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+           length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols
+    FROM texts
+),
+windows AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times
+    FROM split, unnest(range(1, len(w) - 1)) AS r(i)
+),
+covered AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, unnest([0, 1, 2]) AS o(k)
+    WHERE times > 1 GROUP BY doc_id
+),
+measured AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+           CAST(length(list_aggregate(w, 'string_agg', '')) AS BIGINT) AS chars_,
+           CAST(n_symbols AS BIGINT) AS n_symbols,
+           CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+           CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines
+    FROM split LEFT JOIN covered USING (doc_id)
+),
+rated AS (SELECT *, coalesce(chars_, 0) AS word_chars FROM measured),
+ledger AS (
+    SELECT *, {" + ".join(f"CASE WHEN {fails} THEN {1 << i} ELSE 0 END"
+                          for i, fails in enumerate(RULES.values()))} AS bits
+    FROM rated
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       bits & 3 <> 0 AS base_failed, bits = 0 AS kept, CAST(bits AS BIGINT) AS failed_bits
+FROM ledger
+"""
+
+OP10 = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                                 "'abcdefghijklmnopqrstuvwxyz')")} AS w
+    FROM documents
+),
+grams AS (
+    SELECT DISTINCT doc_id, list_aggregate(w[i:i + 2], 'string_agg', chr(10)) AS g
+    FROM words, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS r(i) WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+    FROM grams AS x JOIN grams AS y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM shared JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+    WHERE 100 * k >= 85 * (x.n + y.n - k)
+),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM words
+    UNION SELECT r.doc_id, l.b FROM reached AS r JOIN both_ways AS l ON l.a = r.other
+),
+named AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
+       doc_id = component_id AS kept
+FROM named LEFT JOIN sizes USING (doc_id)
+"""
+
+CHECK_SQL: dict[str, str] = {
+    "op2_warc": OP2,
+    "op4_chat": OP4,
+    "op5_suffix_dedup": OP5,
+    "op7_secret_scans": OP7,
+    "op9_quality_rules": OP9,
+    "op10_minhash": OP10,
+}
