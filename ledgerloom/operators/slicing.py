@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import parse_date
-from ledgerloom.operators.skew import spread_join
 from ledgerloom.sources.files import EVENT_TIME
 
 Day = dt.date | Column
@@ -51,16 +50,15 @@ def slice_orders(orders: DataFrame, start: Day, end: Day, lookback_days: int) ->
     return slice_days(orders, parse_date(F.col(EVENT_TIME)), start, end, lookback_days)
 
 
-def slice_items(items: DataFrame, order_slice: DataFrame, spread_rows: int) -> DataFrame:
+def slice_items(items: DataFrame, order_slice: DataFrame) -> DataFrame:
     """Order lines of the sliced orders, once per ingest day of their order.
 
     The slice is folded to one row per order first, with the set of its days (at most the days
-    of the run), so lines join a unique key and copies of an order do not multiply them.
+    of the run), so lines join a unique key and copies of an order do not multiply them. The
+    join is left to the planner: a small slice is broadcast, and items are read once.
     """
     days = order_slice.groupBy("order_id").agg(F.collect_set("ingest_date").alias("_days"))
-    spread_by = [c for c in items.columns if c != "order_id"]
-    joined = spread_join(items, days, "order_id", "inner", spread_by=spread_by,
-                         spread_rows=spread_rows)
+    joined = items.join(days, "order_id")
     return joined.withColumn("ingest_date", F.explode("_days")).drop("_days")
 
 

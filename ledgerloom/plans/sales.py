@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import ratio
-from ledgerloom.operators.skew import spread_join
 from ledgerloom.params import Params
 
 UNKNOWN = "unknown"
@@ -16,15 +15,13 @@ def product_attributes(products: DataFrame, translations: DataFrame, ratios: Dat
                        params: Params) -> DataFrame:
     """Category in both languages and cost ratio of every product.
 
-    Few categories cover all products, so the translation join is spread. The ratios come from
-    the parameters and are therefore small enough to broadcast.
+    Few categories cover all products, but translations and ratios are one row per category, so
+    the planner broadcasts what is small and AQE splits an overfull partition otherwise.
     """
-    translated = spread_join(
-        products.select("product_id", "category_pt"), translations, "category_pt", "left",
-        spread_by=["product_id"], spread_rows=params.spread_rows)
+    translated = products.select("product_id", "category_pt").join(
+        translations, "category_pt", "left")
     priced = translated.join(
-        F.broadcast(ratios.withColumnRenamed("product_category_name", "category_pt")),
-        "category_pt", "left")
+        ratios.withColumnRenamed("product_category_name", "category_pt"), "category_pt", "left")
     return priced.select(
         "product_id",
         F.coalesce("category_pt", F.lit(UNKNOWN)).alias("category_pt"),
@@ -33,19 +30,14 @@ def product_attributes(products: DataFrame, translations: DataFrame, ratios: Dat
     )
 
 
-def enriched_items(lines: DataFrame, headers: DataFrame, attributes: DataFrame, params: Params,
-                   raw_lines: DataFrame | None = None) -> DataFrame:
+def enriched_items(lines: DataFrame, headers: DataFrame, attributes: DataFrame,
+                   params: Params) -> DataFrame:
     """One row per order line with a header; lines of unknown products are kept.
 
-    Both joins are spread, because one order or one product may hold much of the data.
-    ``raw_lines`` is the undeduplicated scan, from which the load is cheaper to measure.
+    The right sides have one row per key. A partition that a large order or product overfills is
+    split at run time (AQE skew join), which costs nothing where there is none.
     """
-    with_header = spread_join(
-        lines, headers, "order_id", "inner", spread_by=["order_item_id"],
-        spread_rows=params.spread_rows, load_from=raw_lines)
-    with_product = spread_join(
-        with_header, attributes, "product_id", "left", spread_by=["order_id", "order_item_id"],
-        spread_rows=params.spread_rows, load_from=lines if raw_lines is None else raw_lines)
+    with_product = lines.join(headers, "order_id").join(attributes, "product_id", "left")
     cost_ratio = F.coalesce("cost_ratio", ratio(F.lit(params.default_cost_ratio)))
     price = F.col("item_price")
     return with_product.select(

@@ -99,7 +99,7 @@ def test_items_follow_their_orders_once_per_day(spark):
     lines = [("1", i, "x") for i in range(200)] + [("2", 0, "y"), ("3", 0, "z")]
     items = spark.createDataFrame(lines, "order_id string, order_item_id int, note string")
     slices = spark.createDataFrame(days, "order_id string, ingest_date date")
-    got = slicing.slice_items(items, slices, spread_rows=10)
+    got = slicing.slice_items(items, slices)
     counts = {tuple(r)[:2]: r[2] for r in got.groupBy("order_id", "ingest_date").count().collect()}
     assert counts == {("1", D(2020, 1, 1)): 200, ("1", D(2020, 1, 2)): 200, ("2", D(2020, 1, 2)): 1}
 
