@@ -10,8 +10,6 @@ materialized table.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,11 +51,14 @@ def _with_category(rows: DataFrame, attributes: DataFrame | None) -> DataFrame:
     return joined.fillna(UNKNOWN, ["category_pt", "category_en"])
 
 
-def _dense(daily: DataFrame, attributes: DataFrame | None = None,
-           since: dt.date | None = None) -> DataFrame:
-    """Every product on every day, zero-filled, with running and total units."""
+def _dense(daily: DataFrame, attributes: DataFrame | None = None) -> DataFrame:
+    """Every product on every day, zero-filled, with running and total units.
+
+    A product sold under two categories on one day has two rows there; they are one sale day,
+    under the greater of the categories.
+    """
     span = _span(daily)
-    sold = daily.selectExpr(
+    sold = _per_day(daily).selectExpr(
         "*",
         "sum(units_sold) OVER (PARTITION BY product_id ORDER BY order_date "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _cum",
@@ -68,8 +69,6 @@ def _dense(daily: DataFrame, attributes: DataFrame | None = None,
     first_day, last_day = span.getField("first_day"), span.getField("last_day")
     begin = F.when(F.col("_previous").isNull(), first_day).otherwise(F.col("order_date"))
     until = F.coalesce(F.date_sub("_next", 1), last_day)
-    if since is not None:
-        begin = F.greatest(begin, F.lit(since))
     days = F.when(begin <= until, F.sequence(begin, until))
     stretched = _with_category(sold, attributes).withColumn("inv_date", F.explode(days))
     is_sale_day = F.col("inv_date") == F.col("order_date")
@@ -88,6 +87,17 @@ def _dense(daily: DataFrame, attributes: DataFrame | None = None,
     )
 
 
+def _per_day(daily: DataFrame) -> DataFrame:
+    """One row per product and day; the product's rows are already together for the windows."""
+    sums = [F.sum("units_sold").alias("units_sold"),
+            F.sum("revenue").cast(daily.schema["revenue"].dataType).alias("revenue")]
+    if "category_pt" not in daily.columns:
+        return daily.repartition("product_id").groupBy("product_id", "order_date").agg(*sums)
+    category = F.max(F.struct("category_pt", "category_en")).alias("_category")
+    return daily.repartition("product_id").groupBy("product_id", "order_date").agg(
+        *sums, category).select("product_id", "order_date", "units_sold", "revenue", "_category.*")
+
+
 def _demand(total_units: Column, days: Column) -> Column:
     mean = total_units.cast("double") / days.cast("double")
     return F.greatest(mean, F.lit(MIN_DAILY_DEMAND)).alias("expected_daily_demand")
@@ -137,10 +147,10 @@ def _ledger(state: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def inventory_position(daily: DataFrame, params: Params, attributes: DataFrame | None = None,
-                       since: dt.date | None = None) -> DataFrame:
-    """The ledger, one row per product and day, or its days from ``since`` on."""
-    return _ledger(_dense(daily, attributes, since), params).select(
+def inventory_position(daily: DataFrame, params: Params,
+                       attributes: DataFrame | None = None) -> DataFrame:
+    """The ledger, one row per product and day."""
+    return _ledger(_dense(daily, attributes), params).select(
         "product_id", "category_pt", "category_en", "inv_date",
         F.col("units_sold").cast("bigint").alias("units_sold"),
         F.col("revenue").cast("double").alias("revenue"),
@@ -158,9 +168,12 @@ def latest_position(daily: DataFrame, params: Params,
     On the last day the running units are the product's total and the elapsed days are the
     whole span, so one aggregation per product is enough.
     """
-    keys = ["product_id"] if attributes is not None else ["product_id", "category_pt",
-                                                          "category_en"]
-    totals = daily.groupBy(*keys).agg(F.sum("units_sold").alias("cum_units"))
+    totals = [F.sum("units_sold").alias("cum_units")]
+    if attributes is None:
+        totals.append(F.max(F.struct("order_date", "category_pt", "category_en")).alias("_last"))
+    totals = daily.groupBy("product_id").agg(*totals)
+    if attributes is None:
+        totals = totals.select("product_id", "cum_units", "_last.category_pt", "_last.category_en")
     span = _span(daily)
     first_day, last_day = span.getField("first_day"), span.getField("last_day")
     elapsed = F.datediff(last_day, first_day)

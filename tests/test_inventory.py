@@ -6,6 +6,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.params import Params
 from ledgerloom.plans import inventory
@@ -80,12 +81,18 @@ def test_closed_form_is_the_ledgers_last_day(spark, rows):
     assert len({r["inventory_status"] for r in closed.collect()}) >= 3
 
 
-def test_recent_days_alone(spark, rows):
+def test_two_categories_on_one_day_are_one_sale_day(spark):
     daily = frame(spark, sales())
-    since = D0 + dt.timedelta(days=30)
-    whole = inventory.inventory_position(daily, PARAMS)
-    recent = inventory.inventory_position(daily, PARAMS, since=since)
-    assert rows(recent) == rows(whole.filter(f"inv_date >= DATE '{since}'"))
+    twice = daily.filter("product_id = 'p3'").withColumn("category_pt", F.lit("a")).unionByName(daily)
+    ledger = inventory.inventory_position(twice, PARAMS)
+    days = daily.select("order_date").agg(F.datediff(F.max("order_date"), F.min("order_date"))).first()[0] + 1
+    assert ledger.filter("product_id = 'p3'").count() == days
+    for column in ("units_sold", "revenue"):
+        assert (ledger.agg(F.sum(column)).first()[0]
+                == float(twice.agg(F.sum(column)).first()[0]))
+    assert {r["category_pt"] for r in ledger.filter("product_id = 'p3'").collect()} == {"cp3"}
+    closed = inventory.inventory_health_closed(twice, PARAMS)
+    assert closed.count() == closed.select("product_id").distinct().count()
 
 
 def test_categories_may_come_from_the_product_master(spark, rows):
