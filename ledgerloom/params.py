@@ -28,6 +28,13 @@ CATEGORY_COST_RATIOS = {
     "automotivo": "0.68",
 }
 
+OPENING_STOCK_DAYS = 45
+RESTOCK_INTERVAL_DAYS = 14
+RESTOCK_COVER_DAYS = 21
+REORDER_POINT_DAYS = 10
+OVERSTOCK_DAYS = 60
+MIN_OPENING_STOCK = 5
+
 # --- End of fixed values ------------------------------------------------------------------
 
 
@@ -47,15 +54,12 @@ class Params:
     late_reprocess_days: int = 3
 
     # Inventory ledger
-    opening_stock_days: int = 45
-    restock_interval_days: int = 14
-    restock_cover_days: int = 21
-    reorder_point_days: int = 10
-    overstock_days: int = 60
-    min_opening_stock: int = 5
-
-    # Days of the ledger that a run checks; None checks all of them
-    ledger_check_days: int | None = None
+    opening_stock_days: int = OPENING_STOCK_DAYS
+    restock_interval_days: int = RESTOCK_INTERVAL_DAYS
+    restock_cover_days: int = RESTOCK_COVER_DAYS
+    reorder_point_days: int = REORDER_POINT_DAYS
+    overstock_days: int = OVERSTOCK_DAYS
+    min_opening_stock: int = MIN_OPENING_STOCK
 
     # Checks, by model.column.test, whose failure is reported but does not fail the run
     warn_only: tuple[str, ...] = ()
@@ -64,6 +68,3 @@ class Params:
     max_money: int = 1_000_000
     freshness_warn_hours: int = 36
     freshness_error_hours: int = 72
-
-    # Skew: a join key's hash bucket holding more rows than this is spread over several tasks
-    spread_rows: int = 1_000_000

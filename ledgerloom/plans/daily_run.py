@@ -5,9 +5,10 @@ affected days of the models, check the models, publish, and last of all append t
 The watermark is derived from that row, so a run that stops anywhere before it is repeated as a
 whole, and every step may be repeated without counting anything twice.
 
-Work grows with the new days, not with the history: raw partitions before the first affected
-day are pruned, dimensions are merged into a stored current version, and the ledger reads the
-stored daily sales.
+Staging, enrichment and the fact are rebuilt for the affected days only: raw partitions before the
+first of them are pruned, and dimensions are merged into a stored current version. The raw gate, the
+checks of fact and marts, the ledger and the executive marts read the whole lake or the whole stored
+fact, so a day that breaks after it was built is found by the next run.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field, replace as with_fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,7 @@ from ledgerloom.plans.model_checks import (
 from ledgerloom.session import prepare
 from ledgerloom.sinks import publish
 from ledgerloom.sinks.tables import (
-    drop_days, read_version, replace, store, write_days, write_version,
+    day_files, drop_days, read_version, store, write_days, write_version,
 )
 from ledgerloom.sources import audit, contracts, files, lake
 from ledgerloom.sources.seed import cost_ratios
@@ -88,6 +89,9 @@ class Window:
     def contains(self, column: str):
         return F.col(column).between(F.lit(self.start), F.lit(self.end))
 
+    def days(self) -> list[dt.date]:
+        return [self.start + dt.timedelta(days=n) for n in range((self.end - self.start).days + 1)]
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -98,15 +102,16 @@ class Outcome:
     tests_failed: int = 0
 
 
-def check_contracts(job: Job, sources: Mapping[str, DataFrame], day: dt.date) -> None:
-    """Compare every header with its contract before anything lands."""
-    found = {t: contracts.drift(t, df.columns) for t, df in sources.items()}
-    broken = {t: problems for t, problems in found.items() if problems}
-    for table, problems in broken.items():
-        lake.quarantine(sources[table], job.root, table, day, problems, job.clock())
-    if broken:
-        text = "; ".join(f"{t}: {', '.join(p)}" for t, p in broken.items())
-        raise contracts.SchemaDrift(text)
+def check_contracts(job: Job, sources: Mapping[str, DataFrame], day: dt.date,
+                    run_id: str) -> None:
+    """Compare the header of every file with its table's contract before anything lands."""
+    findings = [f for t in sources for f in contracts.drift(t, files.read_headers(
+        job.spark, job.source_dir, t, job.source_files).values())]
+    for table in dict.fromkeys(f.table for f in findings):
+        lake.quarantine(sources[table], job.root, table, day,
+                        [f for f in findings if f.table == table], job.clock(), run_id)
+    if findings:
+        raise contracts.SchemaDrift("; ".join(f"{f.table}: {f}" for f in findings))
 
 
 def plan(job: Job, bounds: DataFrame, start: dt.date | None = None,
@@ -119,10 +124,10 @@ def plan(job: Job, bounds: DataFrame, start: dt.date | None = None,
     return None if first is None else Window(first, last)
 
 
-def set_aside_unreadable(job: Job, orders: DataFrame, day: dt.date) -> None:
+def set_aside_unreadable(job: Job, orders: DataFrame, day: dt.date, run_id: str) -> None:
     """Quarantine orders without a readable time; they belong to no day and would be lost."""
     lake.quarantine(orders.filter(files.event_date().isNull()), job.root, "orders", day,
-                    [f"unreadable {files.EVENT_TIME}"], job.clock())
+                    [f"unreadable {files.EVENT_TIME}"], job.clock(), run_id)
 
 
 def land_window(job: Job, sources: Mapping[str, DataFrame], window: Window) -> int:
@@ -136,16 +141,16 @@ def land_window(job: Job, sources: Mapping[str, DataFrame], window: Window) -> i
 
     def write(table: str, df: DataFrame) -> None:
         path = lake.raw_path(root, table)
+        before = day_files(spark, path, "ingest_date", window.days())
         lake.land(df, path, loaded_at)
-        landed = lake.read_raw(spark, root, table).filter(window.contains("ingest_date"))
-        stale = landed.filter(F.col("_loaded_at") != loaded_at).select("ingest_date").distinct()
-        drop_days(spark, path, "ingest_date", [r[0] for r in stale.collect()])
+        after = day_files(spark, path, "ingest_date", window.days())
+        # A partition that still has the files it had got no rows this time.
+        drop_days(spark, path, "ingest_date", [d for d in after if after[d] == before.get(d)])
 
     write("orders", slicing.slice_orders(sources["orders"], window.start, window.end, lookback))
     landed_orders = lake.read_raw(spark, root, "orders").filter(window.contains("ingest_date"))
     write("order_items", slicing.slice_items(
-        sources["order_items"], landed_orders.select("order_id", "ingest_date"),
-        job.params.spread_rows))
+        sources["order_items"], landed_orders.select("order_id", "ingest_date")))
     for table in DIMENSIONS:
         write(table, slicing.daily_snapshot(sources[table], window.start, window.end))
 
@@ -155,9 +160,9 @@ def land_window(job: Job, sources: Mapping[str, DataFrame], window: Window) -> i
     return total or 0
 
 
-def gate_raw(job: Job, since: dt.date | None) -> None:
-    """Check raw partitions from ``since`` on, or all of them; raise on any failure."""
-    raw = {t: lake.read_raw(job.spark, job.root, t, since) for t in contracts.CONTRACTS}
+def gate_raw(job: Job) -> None:
+    """Check the raw tables, all partitions of them; raise on any failure."""
+    raw = {t: lake.read_raw(job.spark, job.root, t) for t in contracts.CONTRACTS}
     params = job.params
     checks.raise_on_failure(checks.run_checks(
         "raw", raw, [*raw_checks(params), *parse_checks()], params.warn_only))
@@ -169,18 +174,6 @@ def gate_raw(job: Job, since: dt.date | None) -> None:
             raise checks.CheckFailure(f"{table} was last loaded at {age['newest_loaded_at']}")
 
 
-def _gate_since(job: Job, window: Window) -> dt.date | None:
-    """First partition to gate: the window's after a passed run, all after a failed one.
-
-    Partitions a failed run left behind have not been found good yet.
-    """
-    last = (
-        audit.read_audit(job.spark, job.root).filter(F.col("status") != "NOOP")
-        .agg(F.max_by("status", F.struct("run_finished_at", "run_id"))).first()[0]
-    )
-    return window.start if last == "PASS" else None
-
-
 def current_dimension(job: Job, table: str, window: Window | None,
                       relanded: bool = True) -> DataFrame:
     """Newest raw row per key over all snapshots of a dimension.
@@ -247,12 +240,31 @@ def _write_model_days(job: Job, df: DataFrame, path: str, since: dt.date | None,
     return lake.read_table(job.spark, path, schema)
 
 
-def _write_small_mart(job: Job, name: str, fresh: DataFrame, since: dt.date | None) -> DataFrame:
-    """A mart of few rows per day: days before ``since`` are kept, the others replaced."""
-    if since is not None:
-        kept = lake.read_table(job.spark, job.mart(name), fresh.schema)
-        fresh = kept.filter(F.col("order_date") < F.lit(since)).unionByName(fresh)
-    return replace(fresh, job.mart(name))
+def check_days(fact: DataFrame, daily: DataFrame, built: Mapping[str, DataFrame],
+               exact: bool) -> None:
+    """Raise unless every mart has the fact's days and the fact has the units and revenue sold.
+
+    With ``exact`` false the fact may keep keys that left the sales (updates by key), and days on
+    which it differs are logged.
+    """
+    days = fact.select("order_date").distinct()
+    for name, mart in built.items():
+        other = mart.select("order_date").distinct()
+        odd = days.exceptAll(other).unionByName(other.exceptAll(days)).count()
+        if odd:
+            raise checks.CheckFailure(f"{name} and the fact differ in {odd} days")
+    differing = marts.reconciliation(fact, daily).count()
+    if differing and exact:
+        raise checks.CheckFailure(f"the fact and the daily sales disagree on {differing} days")
+    if differing:
+        log.warning("the fact and the daily sales disagree on %d days", differing)
+
+
+def _as_daily(batch: DataFrame) -> DataFrame:
+    """Daily sales as the ledger reads them, in the types of ``DAILY_SCHEMA``."""
+    return batch.select(
+        "order_date", "product_id", "units_sold", F.col("revenue").cast("decimal(28,2)"),
+        *[F.col(c).cast("decimal(38,2)") for c in ("cogs", "gross_margin")])
 
 
 def build_sales(job: Job, since: dt.date | None, attributes: DataFrame,
@@ -281,12 +293,8 @@ def build_sales(job: Job, since: dt.date | None, attributes: DataFrame,
                                 job.params.warn_only)
     passed = checks.raise_on_failure(results)[0]
 
-    daily = batch.drop("category_pt", "category_en")
-    for column in ("cogs", "gross_margin"):
-        daily = daily.withColumn(column, F.col(column).cast("decimal(38,2)"))
     stored["daily_sales"] = _write_model_days(
-        job, daily.withColumn("revenue", F.col("revenue").cast("decimal(28,2)")),
-        job.model("daily_sales"), since, DAILY_SCHEMA)
+        job, _as_daily(batch), job.model("daily_sales"), since, DAILY_SCHEMA)
 
     path = job.mart("fct_daily_sales")
     fresh = conform(marts.fct_daily_sales(batch), "fct_daily_sales")
@@ -297,13 +305,46 @@ def build_sales(job: Job, since: dt.date | None, attributes: DataFrame,
     return passed, lake.read_table(spark, path, FACT_SCHEMA)
 
 
+def rebuild_days(job: Job, days: Collection[dt.date], attributes: DataFrame) -> None:
+    """Rebuild the daily sales and the fact of single days, each from its own partitions.
+
+    All snapshots of a day's orders lie in the day's partition and those of the days that re-scan
+    it, and order lines land with their order.
+    """
+    spark, lookback = job.spark, job.params.lookback_days
+    if not days:
+        return
+    partitions = sorted({d + dt.timedelta(days=n) for d in days for n in range(lookback + 1)})
+
+    def raw(table: str) -> DataFrame:
+        return lake.read_raw(spark, job.root, table).filter(F.col("ingest_date").isin(partitions))
+
+    def of_days(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("order_date").isin(list(days)))
+
+    enriched = sales.enriched_items(
+        staging.order_lines(raw("order_items")), of_days(staging.order_headers(raw("orders"))),
+        attributes, job.params)
+    batch = store(sales.daily_product_sales(enriched), job.model("daily_sales_days"))
+    fresh = conform(marts.fct_daily_sales(batch), "fct_daily_sales")
+    path = job.mart("fct_daily_sales")
+    if job.fact_mode != "window":
+        fresh = upsert(of_days(lake.read_table(spark, path, FACT_SCHEMA)), fresh, FACT_KEYS)
+    for df, where, schema in ((_as_daily(batch), job.model("daily_sales"), DAILY_SCHEMA),
+                              (fresh, path, FACT_SCHEMA)):
+        had = {r[0] for r in of_days(lake.read_table(spark, where, schema))
+               .select("order_date").distinct().collect()}
+        has = {r[0] for r in df.select("order_date").distinct().collect()}
+        write_days(df, where, "order_date")
+        drop_days(spark, where, "order_date", sorted(had - has))
+
+
 def build_models(job: Job, window: Window | None) -> tuple[int, dict[str, DataFrame]]:
     """Rebuild what the window touches, or everything without one; return checks passed."""
     spark, params = job.spark, job.params
     since = reprocess_from(job, window)
     stored, attributes = build_dimensions(job, window)
     passed, fact = build_sales(job, since, attributes, stored)
-    recent_fact = _from(fact, "order_date", since)
 
     path = job.model("product_history")
     snapshot = stored["stg_products"].select("product_id", "category_pt")
@@ -312,31 +353,27 @@ def build_models(job: Job, window: Window | None) -> tuple[int, dict[str, DataFr
         apply_snapshot(history, snapshot, "product_id", ["category_pt"], job.clock()), path)
 
     dim = store(conform(marts.dim_product(attributes), "dim_product"), job.mart("dim_product"))
-    kpis = conform(marts.exec_kpis(recent_fact), "mart_exec_kpis")
-    kpis = _write_small_mart(job, "mart_exec_kpis", kpis, since)
-    by_category = _write_small_mart(job, "mart_sales_by_category",
-                                    marts.sales_by_category(recent_fact), since)
+    # A few rows per day, so they are rebuilt from the whole fact and cannot lose a day.
+    kpis = store(conform(marts.exec_kpis(fact), "mart_exec_kpis"), job.mart("mart_exec_kpis"))
+    by_category = store(marts.sales_by_category(fact), job.mart("mart_sales_by_category"))
     daily = stored["daily_sales"]
+    check_days(fact, daily, {"mart_exec_kpis": kpis, "mart_sales_by_category": by_category},
+               exact=since is None or job.fact_mode == "window")
     health = store(
         conform(inventory.inventory_health_closed(daily, params, attributes),
                 "mart_inventory_health"), job.mart("mart_inventory_health"))
 
-    ledger_since = None
-    if params.ledger_check_days is not None:
-        newest = daily.agg(F.max("order_date")).first()[0]
-        ledger_since = newest and newest - dt.timedelta(days=params.ledger_check_days - 1)
     models = {
-        "int_inventory_position":
-            inventory.inventory_position(daily, params, attributes, ledger_since),
+        "int_inventory_position": inventory.inventory_position(daily, params, attributes),
         "dim_product": dim,
-        "fct_daily_sales": recent_fact,
+        "fct_daily_sales": fact,
         "mart_exec_kpis": kpis,
         "mart_sales_by_category": by_category,
         "mart_inventory_health": health,
     }
     results = checks.run_checks("model", models, mart_checks(), params.warn_only)
     passed += checks.raise_on_failure(results)[0]
-    return passed, {"fct_daily_sales": fact, **models}
+    return passed, models
 
 
 def run(job: Job, mode: str = "incremental", start: dt.date | None = None,
@@ -349,7 +386,7 @@ def run(job: Job, mode: str = "incremental", start: dt.date | None = None,
                              "FAIL")
     try:
         sources = files.read_sources(spark, job.source_dir, job.source_files)
-        check_contracts(job, sources, start or started.date())
+        check_contracts(job, sources, start or started.date(), record.run_id)
         first_day, last_day, unreadable = files.event_profile(sources["orders"]).first()
         bounds = spark.createDataFrame([(first_day, last_day)], "first_day date, last_day date")
         window = plan(job, bounds, start, end)
@@ -357,14 +394,13 @@ def run(job: Job, mode: str = "incremental", start: dt.date | None = None,
             _record(job, with_fields(record, status="NOOP"))
             return Outcome("NOOP")
         record = with_fields(record, window_start=window.start, window_end=window.end)
-        since = _gate_since(job, window)
         if unreadable:
-            set_aside_unreadable(job, sources["orders"], window.start)
+            set_aside_unreadable(job, sources["orders"], window.start, record.run_id)
         rows = land_window(job, sources, window)
         record = with_fields(record, rows_extracted=rows)
-        gate_raw(job, since)
+        gate_raw(job)
         passed, _ = build_models(job, window)
-        served = publish.read_marts(spark, job.root, publish.PUBLISHED[:-1])
+        served = publish.read_marts(spark, job.root, publish.PUBLISHED[:-1], complete=True)
         if publisher is not None:
             publisher(served)
         record = with_fields(record, status="PASS", run_finished_at=job.clock(),

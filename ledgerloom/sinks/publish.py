@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,16 +34,19 @@ def serving_projection(mart: DataFrame, upper: bool = False) -> DataFrame:
     return mart.select(*[column(f) for f in mart.schema])
 
 
-def read_marts(spark: SparkSession, root: str, names: tuple[str, ...] = PUBLISHED
-               ) -> dict[str, DataFrame]:
-    """The marts built so far; one not built yet is left out with a warning."""
-    found = {}
-    for name in names:
-        try:
-            found[name] = spark.read.parquet(f"{root}/marts/{name}")
-        except AnalysisException as error:
-            log.warning("skip %s: %s", name, error.getCondition())
-    return found
+def _built(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def read_marts(spark: SparkSession, root: str, names: tuple[str, ...] = PUBLISHED,
+               complete: bool = False) -> dict[str, DataFrame]:
+    """The marts built so far, or, if ``complete``, all of them; unreadable ones raise."""
+    paths = {name: f"{root}/marts/{name}" for name in names}
+    absent = [] if complete else [name for name in names if not _built(spark, paths[name])]
+    if absent:
+        log.warning("not built yet: %s", ", ".join(absent))
+    return {name: spark.read.parquet(paths[name]) for name in names if name not in absent}
 
 
 def export_csv(marts: Mapping[str, DataFrame], directory: str) -> None:

@@ -8,8 +8,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgerloom.operators.materialize import materialize
-
 
 def store(df: DataFrame, path: str) -> DataFrame:
     """Replace the table at ``path``, which ``df`` must not read, and return it."""
@@ -17,11 +15,6 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def replace(df: DataFrame, path: str) -> DataFrame:
-    """Replace a table that can be rebuilt with a frame that may read that table."""
-    return store(materialize(df, path.rstrip("/").rsplit("/", 1)[-1]), path)
-
-
 def _files(spark: SparkSession, path: str):
     """Hadoop path and file system, so any store Spark can write to works."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -75,6 +68,17 @@ def write_days(df: DataFrame, path: str, day_column: str) -> None:
     )
 
 
+def day_files(spark: SparkSession, path: str, day_column: str,
+              days: Iterable[dt.date]) -> dict[dt.date, frozenset[str]]:
+    """The data files of those of the day partitions that exist. Every write names its files anew."""
+    found = {}
+    for day in days:
+        partition, fs = _files(spark, f"{path}/{day_column}={day.isoformat()}")
+        if fs.exists(partition):
+            found[day] = frozenset(s.getPath().getName() for s in fs.listStatus(partition))
+    return found
+
+
 def drop_days(spark: SparkSession, path: str, day_column: str, days: Iterable[dt.date]) -> None:
     """Delete whole day partitions, which a dynamic overwrite without rows for them keeps."""
     for day in days:

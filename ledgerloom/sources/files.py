@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import parse_date
@@ -27,27 +27,55 @@ def source_dir(root: str, sample: bool) -> str:
     return f"{root}/{'sample' if sample else 'source'}"
 
 
+def _reader(spark: SparkSession, header: bool, multi_line: bool) -> DataFrameReader:
+    return (
+        spark.read.option("header", header).option("inferSchema", False)
+        .option("enforceSchema", False).option("quote", '"').option("escape", '"')
+        .option("multiLine", multi_line)
+    )
+
+
+def source_paths(spark: SparkSession, directory: str, table: str,
+                 files: Mapping[str, str] = SOURCE_FILES) -> list[str]:
+    """The files of a source table, in order; any store Spark can read works."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/{files[table]}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    paths = sorted(status.getPath().toString() for status in found or [])
+    if not paths:
+        raise FileNotFoundError(f"no file for source table {table!r} at {directory}/{files[table]}")
+    return paths
+
+
+def read_headers(spark: SparkSession, directory: str, table: str,
+                 files: Mapping[str, str] = SOURCE_FILES) -> dict[str, tuple[str, ...]]:
+    """The column names in every file of a table, as they stand there; one record is read of each."""
+    headers = {}
+    for path in source_paths(spark, directory, table, files):
+        first = _reader(spark, header=False, multi_line=True).csv(path).first()
+        headers[path] = tuple(name or "" for name in first or ())
+    return headers
+
+
 def read_source(spark: SparkSession, directory: str, table: str,
-                files: Mapping[str, str] = SOURCE_FILES) -> DataFrame:
-    """One source table with the column names of its own header.
+                files: Mapping[str, str] = SOURCE_FILES, multi_line: bool = True) -> DataFrame:
+    """One source table with the column names of its own headers.
 
     No schema is given: Spark would bind it by position and hide a changed header from the
-    contract check. Only empty text is null; ``NA`` stays text.
+    contract check. Files whose headers differ are read apart and united by name. Only empty text
+    is null; ``NA`` stays text. Quoted line breaks are part of a value, so a file is read by one
+    task; where no value has any, ``multi_line=False`` lets Spark split large files.
     """
-    path = f"{directory}/{files[table]}"
-    try:
-        return (
-            spark.read.option("header", True).option("inferSchema", False)
-            .option("enforceSchema", False).option("quote", '"').option("escape", '"')
-            .csv(path)
-        )
-    except AnalysisException as error:
-        raise FileNotFoundError(f"no file for source table {table!r} at {path}") from error
-
-
-def read_sources(spark: SparkSession, directory: str,
-                 files: Mapping[str, str] = SOURCE_FILES) -> dict[str, DataFrame]:
-    return {table: read_source(spark, directory, table, files) for table in files}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, header in read_headers(spark, directory, table, files).items():
+        groups.setdefault(header, []).append(path)
+    reader = _reader(spark, header=True, multi_line=multi_line)
+    parts = [reader.csv(paths) for paths in groups.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_sources(spark: SparkSession, directory: str, files: Mapping[str, str] = SOURCE_FILES,
+                 multi_line: bool = True) -> dict[str, DataFrame]:
+    return {table: read_source(spark, directory, table, files, multi_line) for table in files}
 
 
 def event_date() -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -75,16 +75,17 @@ def land(df: DataFrame, path: str, loaded_at: str) -> None:
     )
 
 
-def quarantine(df: DataFrame, root: str, table: str, day: dt.date, problems: Sequence[str],
-               found_at: dt.datetime) -> None:
+def quarantine(df: DataFrame, root: str, table: str, day: dt.date, problems: Iterable[object],
+               found_at: dt.datetime, run_id: str) -> None:
     """Keep an offending snapshot and a note of what was wrong with it.
 
-    The snapshot is stored as it came, so only its own file decides the columns.
+    The snapshot is stored as it came, so only its own file decides the columns, and apart from
+    those of other runs on the same day.
     """
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(
-        f"{quarantine_path(root, table)}/ingest_date={day.isoformat()}")
-    notes = [(table, day, problem, found_at) for problem in problems]
+    df.write.mode("append").parquet(
+        f"{quarantine_path(root, table)}/ingest_date={day.isoformat()}/run_id={run_id}")
+    notes = [(table, day, str(problem), found_at) for problem in problems]
     spark.createDataFrame(notes, DRIFT_SCHEMA).coalesce(1).write.mode("append").parquet(
         f"{root}/quarantine/drift_log")
 

@@ -2,19 +2,21 @@
 
 import copy
 import datetime as dt
+import shutil
 
 import pytest
 import retail_files as rf
+from pyspark.sql import functions as F
 
 from ledgerloom.operators.checks import CheckFailure
 from ledgerloom.params import Params
 from ledgerloom.plans import daily_run as dr
 from ledgerloom.plans.marts import reconciliation
 from ledgerloom.sinks import publish
-from ledgerloom.sinks.tables import read_version, write_version
+from ledgerloom.sinks.tables import read_version, write_days, write_version
 from ledgerloom.sources import audit, lake
-from ledgerloom.sources.contracts import SchemaDrift
-from ledgerloom.sources.files import read_source, source_dir
+from ledgerloom.sources.contracts import SchemaDrift, drift
+from ledgerloom.sources.files import read_headers, read_source, source_dir
 
 # The stock of so small a shop is not the subject here.
 PARAMS = Params(min_opening_stock=1000)
@@ -142,7 +144,7 @@ def test_drift_is_quarantined_before_anything_lands(shop):
     for row in made["products"]:
         row["surprise"] = "1"
     rf.write(tmp / "source", made)
-    with pytest.raises(SchemaDrift, match="products: unexpected new columns: surprise"):
+    with pytest.raises(SchemaDrift, match="products: column surprise is unknown"):
         dr.run(job)
     assert runs(job) == [("incremental", "FAIL")] and watermark(job) is None
     assert job.spark.read.parquet(lake.quarantine_path(job.root, "products")).count() == 4
@@ -236,3 +238,67 @@ def test_serving_projection(spark):
 
 def test_missing_marts_are_skipped(spark, tmp_path):
     assert publish.read_marts(spark, str(tmp_path)) == {}
+
+
+def test_a_lost_mart_and_a_broken_day_do_not_stay(shop):
+    job, made, tmp = shop
+    dr.run(job)
+    # A write that died left no mart; the next run has all days again.
+    shutil.rmtree(f"{job.root}/marts/mart_exec_kpis")
+    dr.run(job)
+    days = {d for d, _ in rf.expected_fact(made)}
+    kpis = job.spark.read.parquet(job.mart("mart_exec_kpis")).collect()
+    assert {r["order_date"] for r in kpis} == days and len(kpis) == len(days)
+
+    # An old day of the fact breaks after it was checked: a later run finds it.
+    path = job.mart("fct_daily_sales")
+    day = lake.read_table(job.spark, path, dr.FACT_SCHEMA).filter(f"order_date = '{rf.day(0)}'")
+    broken = job.spark.createDataFrame(day.collect(), day.schema).withColumn("units", -F.col("units"))
+    write_days(broken, path, "order_date")
+    made["orders"].append({**made["orders"][-1], "order_id": "new",
+                           "order_purchase_timestamp": f"{rf.day(10)} 09:00:00"})
+    made["order_items"].append({**made["order_items"][-1], "order_id": "new"})
+    rf.write(tmp / "source", made)
+    with pytest.raises(CheckFailure):
+        dr.run(job)
+
+
+def test_marts_of_other_days_than_the_fact_raise(spark):
+    fact = spark.sql("SELECT DATE '2020-01-01' AS order_date, 1L AS units, 2.0D AS revenue")
+    daily = spark.sql("SELECT DATE '2020-01-01' AS order_date, 1L AS units_sold, "
+                      "CAST(2 AS decimal(28,2)) AS revenue")
+    dr.check_days(fact, daily, {"mart": fact}, exact=True)
+    with pytest.raises(CheckFailure, match="mart and the fact differ in 1 days"):
+        dr.check_days(fact, daily, {"mart": fact.limit(0)}, exact=False)
+    other = daily.withColumn("units_sold", F.lit(5))
+    with pytest.raises(CheckFailure, match="disagree on 1 days"):
+        dr.check_days(fact, other, {}, exact=True)
+    dr.check_days(fact, other, {}, exact=False)
+
+
+def test_quoted_line_breaks_and_headers_of_all_files(spark, tmp_path):
+    (tmp_path / "a_customers_dataset.csv").write_text(
+        'customer_id,customer_unique_id,customer_state,customer_city\nc1,u1,SP,"a\nb"\nc2,u2,SP,NA\n')
+    (tmp_path / "b_customers_dataset.csv").write_text(
+        "customer_id,customer_state,customer_unique_id\nc3,RJ,u3\n")
+    got = {tuple(r) for r in read_source(spark, str(tmp_path), "customers").select(
+        "customer_id", "customer_unique_id", "customer_state", "customer_city").collect()}
+    assert got == {("c1", "u1", "SP", "a\nb"), ("c2", "u2", "SP", "NA"), ("c3", "u3", "RJ", None)}
+    headers = read_headers(spark, str(tmp_path), "customers").values()
+    assert [f.column for f in drift("customers", headers)] == ["customer_city"]
+
+
+def test_one_drifted_file_of_two_stops_the_run(shop):
+    job, made, tmp = shop
+    (tmp / "source" / "more_products_dataset.csv").write_text("product_id\np9\n")
+    with pytest.raises(SchemaDrift, match="products: column product_category_name is missing"):
+        dr.run(job)
+    assert lake.read_raw(job.spark, job.root, "orders").count() == 0
+
+
+def test_a_second_quarantine_of_a_day_keeps_the_first(spark, tmp_path):
+    for run_id in ("r1", "r2"):
+        lake.quarantine(spark.createDataFrame([(run_id,)], "x string"), str(tmp_path), "orders",
+                        rf.day(0), ["odd"], rf.Clock()(), run_id)
+    kept = spark.read.parquet(lake.quarantine_path(str(tmp_path), "orders")).collect()
+    assert {r["x"] for r in kept} == {"r1", "r2"}
