@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,29 +28,52 @@ def raw_stream(spark: SparkSession, root: str, table: str, files_per_batch: int)
     )
 
 
+def touched_days(job: Job, batch: DataFrame) -> list[dt.date]:
+    """Business days of the orders that a batch of landed orders and order lines belongs to.
+
+    A line lands in the partition of its order, so its day is looked up in the partitions of the
+    batch only. The days are at most those of the calendar, however many rows the batch has.
+    """
+    landed = [r[0] for r in batch.select("ingest_date").distinct().collect()]
+    orders = lake.read_raw(job.spark, job.root, "orders").filter(
+        F.col("ingest_date").isin(landed)).select(
+            "order_id", "ingest_date", parse_date(F.col(EVENT_TIME)).alias("day"))
+    lines = batch.filter("day IS NULL").select("order_id", "ingest_date").distinct()
+    days = batch.filter("day IS NOT NULL").select("day").unionByName(
+        orders.join(lines, ["order_id", "ingest_date"], "left_semi").select("day"))
+    return sorted(r[0] for r in days.filter("day IS NOT NULL").distinct().collect())
+
+
 def refresh_fact(job: Job, batch: DataFrame) -> None:
-    """Bring the sales fact up to date for the days a batch of raw orders touches.
+    """Bring the sales fact up to date for the days a batch touches.
 
-    The days are rebuilt from the lake, so a late or repeated order, an order split over
+    ``batch`` has order_id, ingest_date and, for orders, the day. The days are rebuilt from the
+    lake, so a late or repeated order, lines that land after their order, an order split over
     batches and a replay of the whole batch all end in the same fact.
     """
-    first_day, first_ingest, last_ingest = batch.agg(
-        F.min(parse_date(F.col(EVENT_TIME))), F.min("ingest_date"), F.max("ingest_date")).first()
-    if first_day is None:
+    days = touched_days(job, batch)
+    if not days:
         return
-    window = daily_run.Window(first_ingest, last_ingest)
-    staged, attributes = daily_run.build_dimensions(job, window, relanded=False)
-    daily_run.build_sales(job, first_day, attributes, staged)
+    first, last = batch.agg(F.min("ingest_date"), F.max("ingest_date")).first()
+    _, attributes = daily_run.build_dimensions(job, daily_run.Window(first, last), relanded=False)
+    daily_run.rebuild_days(job, days, attributes)
+
+
+def landed_keys(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """What ``refresh_fact`` needs of landed orders and order lines, tables or streams."""
+    return orders.select("order_id", "ingest_date", parse_date(F.col(EVENT_TIME)).alias("day")) \
+        .unionByName(lines.select("order_id", "ingest_date", F.lit(None).cast("date").alias("day")))
 
 
 def stream_fact(job: Job, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
-    """Keep the sales fact up to date with the orders landing in the lake.
+    """Keep the sales fact up to date with the orders and order lines landing in the lake.
 
     The query works off all files there are and stops; the next start continues after them.
     """
-    orders = raw_stream(job.spark, job.root, "orders", files_per_batch)
+    keys = landed_keys(*(raw_stream(job.spark, job.root, table, files_per_batch)
+                         for table in ("orders", "order_items")))
     return (
-        orders.writeStream.foreachBatch(lambda batch, _: refresh_fact(job, batch))
+        keys.writeStream.foreachBatch(lambda batch, _: refresh_fact(job, batch))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

@@ -29,10 +29,40 @@ def test_stream_ends_in_the_batch_fact(spark, tmp_path):
     got = {(r["order_date"], r["product_id"]): (r["units"], r["revenue"]) for r in fact}
     assert got == rf.expected_fact(made) and len(got) == len(fact)
     # A replayed batch changes nothing.
-    feed.refresh_fact(job, lake.read_raw(spark, job.root, "orders"))
+    feed.refresh_fact(job, feed.landed_keys(
+        *(lake.read_raw(spark, job.root, t) for t in ("orders", "order_items"))))
     assert spark.read.parquet(job.mart("fct_daily_sales")).count() == len(fact)
 
 
+def test_lines_that_land_after_their_orders(spark, tmp_path):
+    made = rf.tables()
+    late = {**made, "order_items": [i for i in made["order_items"] if not i["order_id"].startswith("o2_")]}
+    source = rf.write(tmp_path / "source", late)
+    job = dr.Job(spark, source, str(tmp_path / "warehouse"), Params(), clock=rf.Clock())
+    window = dr.Window(rf.day(0), rf.day(4))
+
+    def stream():
+        dr.land_window(job, read_sources(spark, source), window)
+        feed.stream_fact(job, str(tmp_path / "checkpoint")).awaitTermination()
+        fact = spark.read.schema(dr.FACT_SCHEMA).parquet(job.mart("fct_daily_sales")).collect()
+        return {(r["order_date"], r["product_id"]): (r["units"], r["revenue"]) for r in fact}
+
+    assert stream() == rf.expected_fact(late, 5)
+    rf.write(tmp_path / "source", made)
+    assert stream() == rf.expected_fact(made, 5)
+
+
+def test_only_touched_days_are_rebuilt(spark, tmp_path):
+    job, made = land_all(spark, tmp_path)
+    batch = feed.landed_keys(*(lake.read_raw(spark, job.root, t) for t in ("orders", "order_items")))
+    one = batch.filter("order_id = 'o6_1' AND day IS NULL")
+    assert feed.touched_days(job, one) == [rf.day(6)]
+    feed.refresh_fact(job, one)
+    fact = spark.read.schema(dr.FACT_SCHEMA).parquet(job.mart("fct_daily_sales")).collect()
+    want = {k: v for k, v in rf.expected_fact(made).items() if k[0] == rf.day(6)}
+    assert {(r["order_date"], r["product_id"]): (r["units"], r["revenue"]) for r in fact} == want
+
+
 def test_stream_keeps_the_last_row_per_key(spark, rows, tmp_path):
     job, _ = land_all(spark, tmp_path)
     path = str(tmp_path / "latest")
