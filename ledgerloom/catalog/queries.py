@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import to_double
 from ledgerloom.operators import checks, history, slicing, upsert
-from ledgerloom.operators.materialize import materialize
+from ledgerloom.operators.materialize import materialize, shared_dir
 from ledgerloom.plans import inventory, marts, sales, serving, staging
 from ledgerloom.plans.model_checks import model_checks, raw_checks
 from ledgerloom.session import prepare
@@ -52,7 +53,7 @@ class Models:
         raw = self.raw(items) if raw_items is None else raw_items
         return sales.enriched_items(
             staging.order_lines(raw), staging.order_headers(self.raw("orders")),
-            self.attributes(products), PARAMS, raw_lines=raw)
+            self.attributes(products), PARAMS)
 
     def daily(self) -> DataFrame:
         return sales.daily_product_sales(self.enriched())
@@ -76,8 +77,19 @@ class Models:
         return materialize(marts.fct_daily_sales(daily), "early_fact")
 
     def fact_batch(self, target: DataFrame) -> DataFrame:
-        return upsert.trailing_batch(self.fact(), target, "order_date",
-                                     PARAMS.late_reprocess_days)
+        """The fact's days inside the trailing window of ``target``, from the raw rows of these days.
+
+        Orders are bounded by their partitions, which are never before an order's day, and lines by
+        the orders that are left. Fact keys in the gap between the target's newest day and the
+        window's start stay absent, as the window covers a few days only.
+        """
+        start = upsert.trailing_start(target, "order_date", PARAMS.late_reprocess_days).first()[0]
+        headers = materialize(staging.order_headers(
+            self.raw("orders").filter(F.col("ingest_date") >= F.lit(start))
+        ).filter(F.col("order_date") >= F.lit(start)), "recent_headers")
+        raw = self.raw("order_items").join(headers, "order_id", "left_semi")
+        return marts.fct_daily_sales(sales.daily_product_sales(sales.enriched_items(
+            staging.order_lines(raw), headers, self.attributes(), PARAMS)))
 
     def kpis(self) -> DataFrame:
         return marts.exec_kpis(self.fact())
@@ -116,6 +128,20 @@ def _inventory_grid(m: Models) -> DataFrame:
     return _money_out(inventory.inventory_grid(m.brand_daily()), "revenue")
 
 
+def _inventory_position_product(m: Models) -> DataFrame:
+    """The ledger of all products, one row per product and day, summed up by product and month."""
+    ledger = inventory.inventory_position(m.stored_daily(), PARAMS)
+    month = F.trunc("inv_date", "month").alias("inv_month")
+    sums = [F.sum(F.col(c).cast("bigint")).alias(c) for c in (
+        "units_sold", "cum_units", "opening_stock", "restock_qty", "cum_replenishment", "on_hand",
+        "on_hand_units", "reorder_point", "total_supply")]
+    flags = [F.count_if(c).alias(c) for c in ("is_stockout_risk", "is_stockout", "is_overstock")]
+    return ledger.groupBy("product_id", month).agg(
+        F.count(F.lit(1)).alias("days"), *sums, *flags,
+        F.max("days_of_supply").alias("days_of_supply"),
+        F.max("sell_through_rate").alias("sell_through_rate"))
+
+
 def _order_slice(m: Models) -> DataFrame:
     """Every source order on every day that re-scans it."""
     orders = m.source_orders()
@@ -134,7 +160,7 @@ def _land_partitions(m: Models) -> DataFrame:
 
 
 def _items_for_slice(m: Models) -> DataFrame:
-    items = slicing.slice_items(_source_items(m), _order_slice(m), PARAMS.spread_rows)
+    items = slicing.slice_items(_source_items(m), _order_slice(m))
     return items.select("order_id", "order_item_id", "product_id", "seller_id", "price",
                         "ingest_date")
 
@@ -160,7 +186,7 @@ def _rows_landed(m: Models) -> DataFrame:
     orders = slicing.slice_orders(m.source_orders(), start, end, PARAMS.lookback_days)
     return slicing.rows_landed({
         "orders": orders,
-        "order_items": slicing.slice_items(_source_items(m), orders, PARAMS.spread_rows),
+        "order_items": slicing.slice_items(_source_items(m), orders),
         "products": slicing.daily_snapshot(m.table("part"), start, end),
         "customers": slicing.daily_snapshot(m.table("customer"), start, end),
     })
@@ -180,7 +206,7 @@ def _events_daily(m: Models) -> DataFrame:
 
 def _fact_upsert(m: Models) -> DataFrame:
     target = m.early_fact()
-    return upsert.upsert(target, m.fact_batch(target), FACT_KEYS)
+    return upsert.upsert(target, materialize(m.fact_batch(target), "fact_batch"), FACT_KEYS)
 
 
 def _fact_upsert_twice(m: Models) -> DataFrame:
@@ -190,11 +216,16 @@ def _fact_upsert_twice(m: Models) -> DataFrame:
 
 
 def _raw_lake_scan(m: Models) -> DataFrame:
-    """Early partitions lack the approval column, later ones have it; the union is by name."""
-    raw = m.raw("orders").select("order_id", "order_status", "order_approved_at", "ingest_date")
+    """A partitioned lake, one partition per month, whose early files lack the approval column."""
+    path = f"{shared_dir(m.spark)}/ledgerloom/raw_lake-{uuid.uuid4().hex}"
+    raw = m.raw("orders").select(
+        "order_id", "order_status", "order_approved_at", "ingest_date",
+        F.trunc("ingest_date", "month").alias("ingest_month"))
     early = F.col("ingest_date") < F.lit(dt.date(1998, 1, 1))
-    return raw.filter(early).drop("order_approved_at").unionByName(
-        raw.filter(~early), allowMissingColumns=True)
+    for part in (raw.filter(early).drop("order_approved_at"), raw.filter(~early)):
+        part.hint("rebalance", "ingest_month").write.mode("append").partitionBy(
+            "ingest_month").parquet(path)
+    return lake.scan_raw(m.spark, path).drop("ingest_month")
 
 
 def _scd2_products(m: Models) -> DataFrame:
@@ -274,6 +305,7 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
         inventory.stock_factor(F.col("p_partkey")).alias("stock_factor")),
     "inventory_grid": _inventory_grid,
     "inventory_position": lambda m: m.position(),
+    "inventory_position_product": _inventory_position_product,
     "inventory_health": lambda m: m.health(),
     "inventory_health_product": lambda m: inventory.inventory_health_closed(m.stored_daily(), PARAMS),
     "inventory_status_breakdown": lambda m: serving.inventory_status_breakdown(m.health()),
@@ -281,6 +313,7 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "kpi_headline": lambda m: serving.kpi_headline(m.kpis()),
     "revenue_margin_trend": lambda m: serving.revenue_margin_trend(
         m.kpis(), dt.date(1996, 1, 1), dt.date(2000, 12, 31)),
+    "revenue_margin_trend_all": lambda m: serving.revenue_margin_trend(m.kpis()),
     "margin_by_category": lambda m: serving.margin_by_category(m.by_category()),
     "stockout_risk": lambda m: serving.stockout_risk(m.health()),
     "sell_through": lambda m: serving.sell_through(m.health()),
