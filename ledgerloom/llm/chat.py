@@ -52,14 +52,17 @@ def _rounds(links: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
     rounds = [links]
     for i in range(max(most, 1).bit_length() + 1):
         here = rounds[-1]
-        if here.where("up IS NOT NULL").isEmpty():
+        going = here.where("up IS NOT NULL")
+        if going.isEmpty():
             break
         above = here.select("tree", F.col("id").alias("up"), F.col("up").alias("up2"),
                             F.col("score").alias("score2"))
-        further = here.join(above, ["tree", "up"], "left").select(
+        # Messages that have reached their root are carried over, not joined again.
+        further = going.join(above, ["tree", "up"]).select(
             "tree", "id", F.col("up2").alias("up"),
-            (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"))
-        rounds.append(materialize(further, f"reply_round_{i}"))
+            (F.col("score") + F.col("score2")).alias("score"))
+        rounds.append(materialize(
+            further.unionByName(here.where("up IS NULL")), f"reply_round_{i}"))
     return rounds[:-1], rounds[-1]
 
 
