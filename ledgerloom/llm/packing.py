@@ -11,7 +11,7 @@ more windows.
 
 Tokens are looked up per blank-separated string; only strings not met before reach the tokenizer,
 many at a time. No match of the tokenizer's word pattern crosses a blank, so the ids are the same as
-for the whole text.
+for the whole text; so do words and the marks after them, which are looked up apart.
 
 Defined results: a null text is empty and has the closing id alone. Null ids and repeated rows are
 packed row by row. An empty table gives no rows. Columns other than those named are ignored.
@@ -31,9 +31,9 @@ from ledgerloom.llm.common import text_or_empty, utf8_slices
 
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long,"
           " input_ids binary")
-BLANKS = str.maketrans("\n\r\t", "   ")
 # A character that is one token wherever blanks stand around it; it parts strings in a batch.
 PART = "\x00"
+MARKS = ".,;:!?%&*$#"
 
 
 class Lookup:
@@ -64,22 +64,40 @@ class Lookup:
                 at = end + 1
         return found
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [t.translate(BLANKS).split(" ") for t in texts]
+    def _parts(self, string: str) -> tuple[str, str]:
+        """A string as a word in lower case and the marks after it, where that changes no token.
+
+        Marks after a letter or digit and before a blank are always one match of the word pattern.
+        """
+        word = string.rstrip(MARKS)
+        if not word or not word[-1].isalnum() or max(word) > "\xff":
+            return string, ""
+        return word.lower(), string[len(word):]
+
+    def _resolve(self, strings: set[str]) -> dict[str, bytes]:
         known = self._known
-        hits = [[known.get(s) for s in strings] for strings in split]
-        missing = {s for strings, got in zip(split, hits) if None in got
-                   for s, g in zip(strings, got) if g is None}
+        parts = {s: self._parts(s) for s in strings}
+        missing = {p for both in parts.values() for p in both if p not in known}
         new = self._learn(sorted(missing)) if missing else {}
-        out = []
-        for strings, got in zip(split, hits):
-            if None in got:
-                got = [new[s] if g is None else g for s, g in zip(strings, got)]
-            out.append(b"".join(got))
+        found = {s: (known.get(w) or new.get(w, b"")) + (known.get(m) or new.get(m, b""))
+                 for s, (w, m) in parts.items()}
         # The first strings met are the frequent ones; later ones are encoded whenever they occur.
         if len(known) < self._remember:
             known.update(new)
-        return out
+            known.update(found)
+        return found
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        # One character at a time is the fastest way to map them; other blanks stay inside strings.
+        split = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
+                 for t in texts]
+        hits = [list(map(self._known.get, strings)) for strings in split]
+        missing = {s for strings, got in zip(split, hits) if None in got
+                   for s, g in zip(strings, got) if g is None}
+        new = self._resolve(missing) if missing else {}
+        return [b"".join([new[s] if g is None else g for s, g in zip(strings, got)]
+                         if None in got else got)
+                for strings, got in zip(split, hits)]
 
 
 def assign(lengths: np.ndarray, capacity: int, linear: float,
@@ -128,7 +146,7 @@ def _lookup(vocabulary: str, remember: int) -> Lookup:
 
 def pack(docs: DataFrame, vocabulary: str, *, capacity: int = 2048, closing_id: int = 1,
          linear: float = 1.0, quadratic: float = 1.0 / 2048, window_pieces: int = 4096,
-         remember: int = 400_000) -> DataFrame:
+         remember: int = 1_000_000) -> DataFrame:
     """One row per piece: ``length`` tokens of the document from ``start``, at ``offset`` of a sequence.
 
     ``input_ids`` are the piece's ids, little-endian unsigned 32-bit. ``sequence_id`` is unique in the
