@@ -13,9 +13,11 @@ with probability 2 * (1 - 0.85**3)**12 = 2e-5, and fewer above.
    sketch's threshold is six deviations below what the least similar link would show.
 4. Links are confirmed on the full sets, first one candidate per node, then those candidates whose
    nodes are not connected yet.
-5. Larger tables: every pair of nodes that lie in different components and are not both in the
-   table's largest component passes the filters of step 3 and is confirmed; the rest are connected already. So no
-   pair is lost to the limit of step 2, and a table full of near copies costs one row per node.
+5. Larger tables: every pair of nodes that lie in different components (so one of them outside the
+   table's largest) is compared by size and by a sketch of 1,024 bits, five deviations below a link, and
+   what passes is confirmed. A pair counts in the first table it shares only, which the collections of
+   the two tell. So no pair is lost to the limit of step 2, and near copies that are connected already
+   cost nothing more.
 
 Defined results: a null text has no words; documents without words are linked with nothing. Rows
 with a null id belong to their component but do not name it; repeated rows get equal results. An
@@ -54,6 +56,7 @@ class Settings:
 
 
 SKETCHED = 64  # MinHash values in the sketch, two bits each
+DEEP = 1024  # one-bit MinHash values in the sketch of nodes in large tables
 
 
 def shingles(text: str, words: int) -> np.ndarray:
@@ -75,16 +78,15 @@ def shingles(text: str, words: int) -> np.ndarray:
 
 
 class _Hashes:
-    def __init__(self, settings: Settings):
-        random = np.random.default_rng(settings.seed)
-        n = settings.values
+    def __init__(self, n: int, seed: int):
+        random = np.random.default_rng(seed)
         self.flip = random.integers(0, 2**64, (1, n), dtype=np.uint64)
         self.times = random.integers(0, 2**63, (1, n), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def minima(self, values: np.ndarray) -> np.ndarray:
         least = None
-        for at in range(0, len(values), 4096):
-            part = ((values[at:at + 4096, None] ^ self.flip) * self.times).min(axis=0)
+        for at in range(0, len(values), 512):
+            part = ((values[at:at + 512, None] ^ self.flip) * self.times).min(axis=0)
             least = part if least is None else np.minimum(least, part)
         return least
 
@@ -96,7 +98,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
               " one array<long>, two array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes(settings)
+        hashes = _Hashes(settings.values, settings.seed)
         for batch in utf8_slices(batches, 256):
             n, node, sketch, parts = [], [], [], []
             for text in batch.column(2).to_pylist():
@@ -180,19 +182,51 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         "NOT coalesce(root_a, a) <=> coalesce(root_b, b)").select("a", "b")
 
 
-def _crossing(large: DataFrame, labels: DataFrame, attributes: DataFrame,
+def _deep(texts: DataFrame, settings: Settings) -> DataFrame:
+    """``node`` and ``deep``, its long sketch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes(DEEP, settings.seed + 1)
+        for batch in utf8_slices(batches, 256):
+            found = []
+            for text in batch.column(1).to_pylist():
+                bits = mix(hashes.minima(shingles(text, settings.words)), 13) & np.uint64(1)
+                found.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "deep"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, deep array<long>")
+
+
+def _crossing(large: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame,
               settings: Settings) -> DataFrame:
     """Alike pairs of different components within the tables that were not covered whole."""
-    members = materialize(
-        large.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        .join(attributes, "node"), "minhash_large")
-    main = members.groupBy("key", "root").count().groupBy("key").agg(
+    rooted = materialize(large.join(labels, "node", "left").withColumn(
+        "root", F.coalesce("root", "node")), "minhash_large")
+    main = rooted.groupBy("key", "root").count().groupBy("key").agg(
         F.max(F.struct("count", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where(
             "roots > 1").select("key", F.col("main.root").alias("main"))
-    minor = members.join(main, "key").where("root <> main").drop("main")
-    x, y = minor.alias("x"), members.alias("y")
+    open_rows = rooted.join(main, "key")
+    there = materialize(open_rows.select("node").distinct(), "minhash_open")
+    deep = _deep(texts.join(there, "node", "left_semi"), settings)
+    members = materialize(open_rows.join(
+        nodes.select("node", "n", "one", "two").join(deep, "node"), "node"), "minhash_members")
+    share = settings.percent / 100
+    agreeing = (1 + share) / 2
+    most = DEEP * (1 - agreeing) + 5 * (DEEP * agreeing * (1 - agreeing)) ** 0.5
+    differing = " + ".join(f"bit_count(x.deep[{k}] ^ y.deep[{k}])" for k in range(DEEP // 64))
+
+    def earlier(side: str, at: str) -> str:
+        return (f"exists(zip_with(slice(x.{side}, 1, {at}), slice(y.{side}, 1, {at}),"
+                f" (a, b) -> a = b), e -> e)")
+
+    tables = settings.tables
+    x, y = members.where("root <> main").alias("x"), members.alias("y")
     return x.join(y, F.expr(
-        f"x.key = y.key AND x.root <> y.root AND {_alike(settings, 'x', 'y')}")).select(
+        f"x.key = y.key AND x.root <> y.root AND (y.root = y.main OR x.node < y.node)"
+        f" AND 100 * least(x.n, y.n) >= {settings.percent} * greatest(x.n, y.n)"
+        f" AND {differing} <= {most:.6f}D"
+        f" AND NOT {earlier('one', f'int(x.slot div {tables})')}"
+        f" AND NOT {earlier('two', f'int(x.slot % {tables})')}")).select(
             F.expr("least(x.node, y.node) AS a"), F.expr("greatest(x.node, y.node) AS b")).distinct()
 
 
@@ -206,13 +240,14 @@ def node_links(docs: DataFrame, rated: DataFrame, settings: Settings) -> DataFra
             F.first("two").alias("two")).select("*", "of.doc_id", "of.text_hash").drop("of"),
         "minhash_nodes")
     attributes = nodes.select("node", "n", "sketch1", "sketch2")
-    keys = nodes.select("node", F.explode(F.expr(
+    keys = nodes.select("node", F.posexplode(F.expr(
         f"flatten(transform(sequence(0, {settings.tables - 1}), i -> transform("
-        f"sequence(0, {settings.tables - 1}), j -> xxhash64(one[i], two[j], i, j))))")).alias("key"))
+        f"sequence(0, {settings.tables - 1}), j -> xxhash64(one[i], two[j], i, j))))")).alias(
+            "slot", "key"))
     # Tables with one node, nearly all of them, are dropped before anything is stored.
     bucket = Window.partitionBy("key").orderBy("node")
     seen = materialize(keys.select(
-        "key", "node", F.row_number().over(bucket).alias("place"),
+        "key", "slot", "node", F.row_number().over(bucket).alias("place"),
         F.lead("node").over(bucket).alias("after")).where("place > 1 OR after IS NOT NULL").drop(
             "after"), "minhash_tables")
     before = bucket.rowsBetween(-settings.near, -1)
@@ -226,7 +261,7 @@ def node_links(docs: DataFrame, rated: DataFrame, settings: Settings) -> DataFra
     alike = materialize(alike.select("a", "b"), "minhash_pairs")
 
     beyond = seen.where(F.col("place") > settings.near + 1).select("key").distinct()
-    large = materialize(seen.join(beyond, "key").select("key", "node"), "minhash_beyond")
+    large = materialize(seen.join(beyond, "key").select("key", "slot", "node"), "minhash_beyond")
     wanted = alike.select(F.explode(F.array("a", "b")).alias("node")).unionByName(
         large.select("node")).distinct()
     reps = nodes.select("node", "doc_id", "text_hash").join(wanted, "node", "left_semi")
@@ -244,7 +279,7 @@ def node_links(docs: DataFrame, rated: DataFrame, settings: Settings) -> DataFra
     links = links.unionByName(materialize(_verified(rest, texts, settings), "minhash_links"))
     if not large.isEmpty():
         labels = materialize(components(links), "minhash_labels")
-        crossing = _crossing(large, labels, attributes, settings).join(
+        crossing = _crossing(large, labels, nodes, texts, settings).join(
             alike, ["a", "b"], "left_anti")
         links = links.unionByName(
             materialize(_verified(crossing, texts, settings), "minhash_links"))
