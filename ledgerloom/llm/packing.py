@@ -11,7 +11,9 @@ more windows.
 
 Tokens are looked up per blank-separated string; only strings not met before reach the tokenizer,
 many at a time. No match of the tokenizer's word pattern crosses a blank, so the ids are the same as
-for the whole text; so do words and the marks after them, which are looked up apart.
+for the whole text; so do words and the marks after them, which are looked up apart. The vocabulary's
+added tokens, such as ``<|endoftext|>``, are one id wherever a text spells them out, as in the
+library's plain call; strings that hold one are encoded alone and as they are.
 
 Defined results: a null text is empty and has the closing id alone. Null ids and repeated rows are
 packed row by row. An empty table gives no rows. Columns other than those named are ignored.
@@ -43,7 +45,8 @@ class Lookup:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._tokenizer.encode_special_tokens = True
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = tuple(token.content for token in added)
         self._remember = remember
         self._known: dict[str, bytes] = {"": b""}
         self._part = self._encode(PART)
@@ -52,9 +55,13 @@ class Lookup:
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def _holds_added(self, string: str) -> bool:
+        return any(token in string for token in self._added)
+
     def _learn(self, strings: list[str]) -> dict[str, bytes]:
-        plain = [s for s in strings if PART not in s]
-        found = {s: self._encode(s).tobytes() for s in strings if PART in s}
+        found = {s: self._encode(s).tobytes() for s in strings
+                 if PART in s or self._holds_added(s)}
+        plain = [s for s in strings if s not in found]
         if plain:
             ids = self._encode(f" {PART} ".join(plain))
             parts = np.flatnonzero(ids == self._part[0]).tolist()
@@ -72,7 +79,11 @@ class Lookup:
         word = string.rstrip(MARKS)
         if not word or not word[-1].isalnum() or max(word) > "\xff":
             return string, ""
-        return word.lower(), string[len(word):]
+        lower = word.lower()
+        # An added token is matched in lower case only, before the text is put in lower case.
+        if self._holds_added(lower):
+            return string, ""
+        return lower, string[len(word):]
 
     def _resolve(self, strings: set[str]) -> dict[str, bytes]:
         known = self._known

@@ -117,6 +117,26 @@ def test_lookup_equals_the_tokenizer():
         assert lookup.ids([text])[0] == np.array(_word_ids(text)[:-1], "<u4").tobytes(), repr(text)
 
 
+def test_added_tokens_are_one_id_as_in_the_plain_call(spark):
+    from tokenizers import Tokenizer
+
+    common.ship(spark)
+    vocabulary = queries.vocabulary("word_bpe_49k.json")
+    plain = Tokenizer.from_file(vocabulary)
+    odd = ["a<|endoftext|>b", "A<|ENDOFTEXT|>b", "A<|endoftext|>B.", "<|endoftext|>", "<|EndOfText|>x,",
+           "x<|startoftext|>.", "<|endoftext|><|startoftext|>!!", "\x00<|endoftext|>", "é<|endoftext|>Ü",
+           "a<|endoftext|", "<|end\noftext|>", "a\x85<|endoftext|>\x85b", "İ<|endoftext|>"]
+    odd.append(" and\n".join([*odd, "plain", "words."]))
+    frame = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    found = defaultdict(dict)
+    for r in packing.pack(frame, vocabulary).collect():
+        found[r.doc_id].update(enumerate(struct.unpack(f"<{r.length}I", r.input_ids), r.start))
+    for i, text in enumerate(odd):
+        expected = [*plain.encode(text, add_special_tokens=False).ids, 1]
+        assert [x for _, x in sorted(found[i].items())] == expected, repr(text)
+    assert 49407 in found[0].values() and 49407 not in found[1].values()
+
+
 @pytest.mark.parametrize("capacity,window", [(2048, 4096), (64, 5)])
 def test_packing_places_every_token_once(docs, capacity, window):
     got = packing.pack(docs, queries.vocabulary("word_bpe_49k.json"), capacity=capacity,
