@@ -10,10 +10,12 @@ the size of a partition, and there is no shuffle at all: a hot source or group o
 more windows.
 
 Tokens are looked up per blank-separated string; only strings not met before reach the tokenizer,
-many at a time. No match of the tokenizer's word pattern crosses a blank, so the ids are the same as
-for the whole text; so do words and the marks after them, which are looked up apart. The vocabulary's
-added tokens, such as ``<|endoftext|>``, are one id wherever a text spells them out, as in the
-library's plain call; strings that hold one are encoded alone and as they are.
+many at a time. The first ones met are remembered, up to a number, a length and a total of bytes, so
+that strings as long as documents, where blanks are rare, do not fill a worker. No match of the
+tokenizer's word pattern crosses a blank, so the ids are the same as for the whole text; so do words
+and the marks after them, which are looked up apart. The vocabulary's added tokens, such as
+``<|endoftext|>``, are one id wherever a text spells them out, as in the library's plain call; strings
+that hold one are encoded alone and as they are.
 
 Defined results: a null text is empty and has the closing id alone. Null ids and repeated rows are
 packed row by row. An empty table gives no rows. Columns other than those named are ignored.
@@ -22,6 +24,7 @@ packed row by row. An empty table gives no rows. Columns other than those named
 from __future__ import annotations
 
 import heapq
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,18 +39,24 @@ SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id lo
 # A character that is one token wherever blanks stand around it; it parts strings in a batch.
 PART = "\x00"
 MARKS = ".,;:!?%&*$#"
+# Longer strings hardly come back; they are encoded each time.
+LONGEST_KNOWN = 64
+KNOWN_BYTES = 256 << 20
+# About what an entry of a dictionary takes besides its key and value.
+ENTRY_BYTES = 100
 
 
 class Lookup:
     """Token ids of texts as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, vocabulary: str, remember: int):
+    def __init__(self, vocabulary: str, remember: int, remember_bytes: int = KNOWN_BYTES):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
         added = self._tokenizer.get_added_tokens_decoder().values()
         self._added = tuple(token.content for token in added)
         self._remember = remember
+        self._bytes_left = remember_bytes
         self._known: dict[str, bytes] = {"": b""}
         self._part = self._encode(PART)
         assert len(self._part) == 1
@@ -93,11 +102,20 @@ class Lookup:
         found = {s: (known.get(w) or new.get(w, b"")) + (known.get(m) or new.get(m, b""))
                  for s, (w, m) in parts.items()}
         # The first strings met are the frequent ones; later ones are encoded whenever they occur.
-        if len(known) < self._remember:
-            known.update(new)
-            known.update(found)
+        if len(known) < self._remember and self._bytes_left > 0:
+            self._keep(new)
+            self._keep(found)
         return found
 
+    def _keep(self, found: dict[str, bytes]) -> None:
+        for s, ids in found.items():
+            if len(s) > LONGEST_KNOWN or s in self._known:
+                continue
+            self._bytes_left -= sys.getsizeof(s) + sys.getsizeof(ids) + ENTRY_BYTES
+            if self._bytes_left < 0:
+                return
+            self._known[s] = ids
+
     def ids(self, texts: list[str]) -> list[bytes]:
         # One character at a time is the fastest way to map them; other blanks stay inside strings.
         split = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import struct
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -117,6 +118,18 @@ def test_lookup_equals_the_tokenizer():
         assert lookup.ids([text])[0] == np.array(_word_ids(text)[:-1], "<u4").tobytes(), repr(text)
 
 
+def test_lookup_remembers_a_bounded_number_of_bytes():
+    lookup = packing.Lookup(queries.vocabulary("word_bpe_49k.json"), 1_000_000, 20_000)
+    for i in range(40):
+        words = " ".join(f"w{i}x{k}" for k in range(50))
+        whole = "".join(f"字{i}句{k}" for k in range(200))
+        for text in (words, whole, f"{words} {whole}"):
+            assert lookup.ids([text])[0] == np.array(_word_ids(text)[:-1], "<u4").tobytes()
+    known = lookup._known
+    assert max(map(len, known)) <= 64 and "w0x0" in known
+    assert sum(sys.getsizeof(s) + sys.getsizeof(ids) for s, ids in known.items()) <= 20_000
+
+
 def test_added_tokens_are_one_id_as_in_the_plain_call(spark):
     from tokenizers import Tokenizer
 
