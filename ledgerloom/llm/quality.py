@@ -51,9 +51,15 @@ def _measured(df: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
     """``keep`` and the measurements. The steps are projections that Spark pipelines.
 
     The 3-word windows of a text are 64-bit values of hash bits above the window's position, as
-    many low bits as the position needs. After sorting, windows with equal words are neighbours;
-    neighbours with equal hash bits are compared by their words.
+    many low bits as the position needs. After sorting, windows with equal hash bits are neighbours
+    and are compared by their words. Where neighbours differ, windows of other words may stand between
+    equal ones; all windows with those hash bits are then sorted by their words. So the counts are exact
+    however few bits are left.
     """
+
+    def same(p: str, q: str) -> str:
+        return " AND ".join(f"_words[{p} + {k}] = _words[{q} + {k}]" for k in range(3))
+
     steps = df.select(*keep, text.alias("_text"))
     carried = steps.columns[:-1]
     steps = steps.selectExpr(
@@ -70,7 +76,7 @@ def _measured(df: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
                i -> shiftleft(xxhash64(_words[i], _words[i + 1], _words[i + 2]), _bits) | bigint(i)
            )) END AS _windows""")
     steps = steps.selectExpr(
-        *_quoted(carried), "_words", "_lines", "_symbols",
+        *_quoted(carried), "_words", "_lines", "_symbols", "_bits", "_windows",
         """CASE WHEN size(_windows) < 2 THEN CAST(array() AS array<struct<p: int, q: int>>)
            ELSE transform(
                filter(sequence(0, size(_windows) - 2),
@@ -79,6 +85,31 @@ def _measured(df: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
                j -> struct(int(_windows[j] & (shiftleft(1L, _bits) - 1)) AS p,
                            int(_windows[j + 1] & (shiftleft(1L, _bits) - 1)) AS q)
            ) END AS _pairs""")
+    steps = steps.selectExpr(
+        *_quoted(carried), "_words", "_lines", "_symbols", "_bits", "_windows", "_pairs",
+        f"""array_distinct(transform(
+                filter(_pairs, x -> NOT ({same('x.p', 'x.q')})),
+                x -> shiftleft(xxhash64(_words[x.p], _words[x.p + 1], _words[x.p + 2]), _bits)
+            )) AS _mixed""")
+    steps = steps.selectExpr(
+        *_quoted(carried), "_words", "_lines", "_symbols", "_pairs",
+        """CASE WHEN size(_mixed) = 0
+           THEN CAST(array() AS array<struct<a: string, b: string, c: string, p: int>>)
+           ELSE sort_array(transform(
+               transform(
+                   filter(_windows, v -> array_contains(_mixed, v - (v & (shiftleft(1L, _bits) - 1)))),
+                   v -> int(v & (shiftleft(1L, _bits) - 1))),
+               p -> struct(_words[p] AS a, _words[p + 1] AS b, _words[p + 2] AS c, p AS p)
+           )) END AS _sorted""")
+    steps = steps.selectExpr(
+        *_quoted(carried), "_words", "_lines", "_symbols",
+        f"""concat(filter(_pairs, x -> {same('x.p', 'x.q')}),
+                   CASE WHEN size(_sorted) < 2 THEN CAST(array() AS array<struct<p: int, q: int>>)
+                   ELSE transform(
+                       filter(sequence(0, size(_sorted) - 2), j ->
+                              _sorted[j].a = _sorted[j + 1].a AND _sorted[j].b = _sorted[j + 1].b
+                              AND _sorted[j].c = _sorted[j + 1].c),
+                       j -> struct(_sorted[j].p AS p, _sorted[j + 1].p AS q)) END) AS _equal""")
     return steps.selectExpr(
         *_quoted(carried),
         "bigint(size(_words)) AS n_words",
@@ -86,8 +117,7 @@ def _measured(df: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
         "bigint(_symbols) AS n_symbols",
         "bigint(size(_lines) - size(array_distinct(_lines))) AS n_dup_lines",
         """bigint(size(array_distinct(flatten(transform(
-               filter(_pairs, x -> _words[x.p] = _words[x.q] AND _words[x.p + 1] = _words[x.q + 1]
-                                   AND _words[x.p + 2] = _words[x.q + 2]),
+               _equal,
                x -> array(x.p, x.p + 1, x.p + 2, x.q, x.q + 1, x.q + 2)))))) AS n_repeat_words""",
         "bigint(size(_lines)) AS n_lines")
 

@@ -410,6 +410,43 @@ def test_quality_measures(docs, none):
     assert quality.ledger(none).count() == 0
 
 
+def clashing_window(spark, first):
+    """A window of three other words whose 64-bit hash is that of the words ``first``."""
+    mask, p1, p2, p3 = 2**64 - 1, 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+    p4, p5 = 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+
+    def turn(v, n):
+        return (v << n | v >> (64 - n)) & mask
+
+    # The last steps of xxHash64 backwards, for one block of eight bytes.
+    v = spark.range(1).select(F.xxhash64(*map(F.lit, first))).first()[0] & mask
+    v ^= v >> 32
+    v = v * pow(p3, -1, 2**64) & mask
+    v ^= v >> 29 ^ v >> 58
+    v = v * pow(p2, -1, 2**64) & mask
+    v ^= v >> 33
+    mixed = turn((v - p4) * pow(p1, -1, 2**64) & mask, 64 - 27)
+    for i, seed in spark.range(100_000).selectExpr("id", "xxhash64('x', concat('w', id))").collect():
+        v = mixed ^ ((seed & mask) + p5 + 8 & mask)
+        v = turn(v * pow(p1, -1, 2**64) & mask, 64 - 31) * pow(p2, -1, 2**64) & mask
+        third = v.to_bytes(8, "little")
+        if all(32 < c < 127 for c in third):
+            return ["x", f"w{i}", third.decode()]
+    raise AssertionError("no plain word")
+
+
+def test_windows_of_equal_hash_hide_no_repeat(spark):
+    first = ["one", "two", "three"]
+    other = clashing_window(spark, first)
+    assert spark.range(1).select(F.xxhash64(*map(F.lit, first)) == F.xxhash64(
+        *map(F.lit, other))).first()[0]
+    text = " ".join([*first, *other, *first])
+    frame = spark.createDataFrame([(1, text), (2, f"{text} {text}")], "doc_id long, text string")
+    got = {r.doc_id: tuple(r[m] for m in quality.MEASURES[:5]) for r in quality.ledger(frame).collect()}
+    assert got == {1: brute.quality(text), 2: brute.quality(f"{text} {text}")}
+    assert got[1][4] == 6
+
+
 def test_policies_and_ablations(docs):
     stored = quality.ledger(docs).cache()
     rows = stored.collect()
