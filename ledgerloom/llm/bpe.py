@@ -2,11 +2,12 @@
 
 A text up to ``chunk_chars`` is encoded at once. A longer one is cut into overlapping chunks that
 are pre-tokenised in parallel. Two neighbours, started at different places, find the same pre-token
-boundaries after a few characters; the first boundary both have in their overlap is a true one
-(chunk 0 starts at a true boundary, and a pre-token depends on what follows its start only), so
-the text is cut there. The cuts give pieces that are encoded in parallel, and a document's
-ids are the ids of its pieces in order. Where two chunks have no boundary in common, because one
-pre-token is longer than the overlap, there is no cut and the piece just spans both. Copies of a long
+boundaries after a few characters; a boundary both have in their overlap is a true one
+(chunk 0 starts at a true boundary, and a pre-token depends on what follows its start only). The text
+is cut at the first of them that has no white space before it, because white space at the end of a
+piece is split otherwise than before more text. The cuts give pieces that are encoded in parallel, and a document's
+ids are the ids of its pieces in order. Where two chunks have no such boundary in common,
+because a pre-token or a run of white space is longer than the overlap, there is no cut and the piece just spans both. Copies of a long
 text are encoded once.
 
 Decoding concatenates the bytes of the ids.
@@ -86,7 +87,8 @@ def _cuts(texts: DataFrame, pattern: str, size: int, overlap: int) -> DataFrame:
                 found = boundaries(body, pattern)
                 sure = len(body) - LOOKAHEAD
                 heads.append([at + b for b in found if b < overlap])
-                tails.append([at + b for b in found if size - overlap <= b <= sure])
+                tails.append([at + b for b in found if size - overlap <= b <= sure
+                              and not body[b - 1].isspace()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(heads, pa.list_(pa.int64())),
                  pa.array(tails, pa.list_(pa.int64()))], ["digest", "chunk", "head", "tail"])

@@ -88,6 +88,23 @@ def test_bpe_chunks_are_cut_at_true_boundaries(spark, docs):
     assert len(cuts) >= len(text) // 300 and set(cuts) <= true
 
 
+def test_bpe_pieces_with_blanks_at_a_chunk_start(spark):
+    import public_tokenizers
+
+    common.ship(spark)
+    ranks, pattern = queries.vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    # Chunks of 200 characters start at 160 and 320; the blanks end there or run across.
+    texts = [edges.prose(20, 60)[:160 - len(blanks) + k].rstrip() + blanks + edges.prose(21, 60)
+             for blanks in (" \xa0", "  \xa0", "\n \u2003", " " * 60 + "\xa0", "\xa0\xa0", " \n")
+             for k in range(3)]
+    texts += [("a" * (160 - len(blanks)) + blanks + "b" * 8 + " c" * 60)
+              for blanks in (" \xa0", "  \xa0", "\t\xa0", "\xa0\xa0")]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in bpe.encode(
+        frame, ranks, pattern, chunk_chars=200, overlap=40).collect()}
+    assert got == {i: _tiktoken().encode_ordinary(t) for i, t in enumerate(texts)}
+
+
 def test_op1_query(spark):
     expected = {d: (_tiktoken().encode_ordinary(t), t) for d, t in table_texts(spark).items()}
     for r in queries.op1_bpe(spark, TESTDATA).collect():
