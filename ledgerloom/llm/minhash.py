@@ -20,8 +20,9 @@ with probability 2 * (1 - 0.85**3)**12 = 2e-5, and fewer above.
    cost nothing more.
 
 Defined results: a null text has no words; documents without words are linked with nothing. Rows
-with a null id belong to their component but do not name it; repeated rows get equal results. An
-empty table gives no rows. Other columns are ignored by ``near_duplicates`` and passed through by
+with a null id belong to their component but do not name it; repeated rows get equal results. Of a
+component ``keep_one`` keeps one row, that of the smallest id (null ids last) and then the smallest
+hash of its text; of documents without words, one row per id and text. An empty table gives no rows. Other columns are ignored by ``near_duplicates`` and passed through by
 ``keep_one``.
 """
 
@@ -286,17 +287,22 @@ def node_links(docs: DataFrame, rated: DataFrame, settings: Settings) -> DataFra
     return links
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Per row: doc_id, text_hash, n_shingles, component_id and kept."""
+def _rooted(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """Per row: doc_id, text_hash and n, with the root of its component; and rows without words."""
     rated = materialize(signatures(docs, settings), "minhash_signatures")
     labels = components(node_links(docs, rated, settings))
     slim = rated.select("doc_id", "text_hash", "n", "node")
     rooted = materialize(slim.where("n > 0").join(labels, "node", "left").withColumn(
         "root", F.coalesce("root", "node")), "minhash_roots")
+    return rooted, slim.where("n = 0")
+
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Per row: doc_id, text_hash, n_shingles, component_id and kept."""
+    rooted, wordless = _rooted(docs, settings)
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.join(names, "root").select("doc_id", "text_hash", "n", "component_id")
-    alone = slim.where("n = 0").select("doc_id", "text_hash", "n",
-                                       F.col("doc_id").alias("component_id"))
+    alone = wordless.select("doc_id", "text_hash", "n", F.col("doc_id").alias("component_id"))
     return named.unionByName(alone).select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -304,8 +310,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that are kept, one per component, with their columns."""
-    kept = near_duplicates(docs, settings).where("kept").select(
-        F.col("doc_id").alias("_id"), "text_hash").distinct()
+    rooted, wordless = _rooted(docs, settings)
+    chosen = rooted.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("of"))
+    kept = chosen.select(F.col("of.doc_id").alias("_id"), "of.text_hash").unionByName(
+        wordless.select(F.col("doc_id").alias("_id"), "text_hash").distinct())
     hashed, row = fresh(docs, "_hash"), fresh(docs, "_row")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
                        F.col("doc_id").alias("doc_id"), F.xxhash64(text_or_empty()).alias(hashed))

@@ -543,5 +543,23 @@ def test_one_of_each_group_is_kept(docs, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_one_row_of_a_group_is_kept_whatever_its_ids(spark):
+    common.ship(spark)
+
+    def near(seed):
+        words = edges.prose(seed, 200).split()
+        return [" ".join([*words[:k], f"new{k}", *words[k + 1:]]) for k in (20, 90, 160)]
+
+    nameless, shared, mixed = near(60), near(61), near(62)
+    rows = [*[(None, t) for t in nameless], (None, nameless[0].replace("the", "THE")),
+            *[(7, t) for t in shared], (8, shared[0]), (7, shared[0]),
+            (None, mixed[0]), (9, mixed[1]), (10, mixed[2]), (None, None), (11, ""), (12, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = Counter((r.doc_id, next((i for i, group in enumerate((nameless, shared, mixed))
+                                    if (r.text or "").lower() in {t.lower() for t in group}), r.text))
+                   for r in minhash.keep_one(docs).collect())
+    assert kept == Counter([(None, 0), (7, 1), (9, 2), (None, None), (11, ""), (12, " ")])
+
+
 def test_address_is_the_content():
     assert hashlib.sha256(b"").hexdigest() == brute.sha("")
