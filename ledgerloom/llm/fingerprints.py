@@ -1,8 +1,10 @@
 """Document fingerprints as invertible Bloom lookup sketches.
 
-A text is a set of units: stretches up to a clause or sentence mark or a line end (the paragraphs of
-this sketch; line breaks alone would leave most documents with one or two). Every unit's 64-bit
-digest is added to three cells of a sketch: a cell holds a count, the XOR of its digests and the XOR
+A text is a set of units: stretches up to and with clause or sentence marks, ASCII or wide, or line
+ends (the paragraphs of this sketch; line breaks alone would leave most documents with one or two).
+Marks and line ends with nothing before them are a unit too, so units cover every character, and a
+unit's digest is that of its characters and of how often it stood before, so repeats count. Stretches
+without a mark are cut each 240 characters. Every unit's 64-bit digest is added to three cells of a sketch: a cell holds a count, the XOR of its digests and the XOR
 of their check hashes. The sketches of two versions are subtracted cell by cell, which cancels what
 they share. Cells left with one digest give it away; taking it out of its other cells uncovers more,
 until all cells are empty. Where that stops early, both sketches are made again with twice the
@@ -11,8 +13,7 @@ cells. The differing digests give the likeness: shared units over all units of t
 The fingerprint is the sketch at its first size with the number of units. Sketches of many documents
 are built and peeled together as arrays.
 
-Defined results: a null text is empty; two texts without units are alike (1). Units count once
-however often they repeat. Null ids come first in the order of documents, equal ids are ordered by a
+Defined results: a null text is empty; two texts without units are alike (1); only empty texts have none. Null ids come first in the order of documents, equal ids are ordered by a
 hash of their text, and the document after the last is the first, which may be the document itself.
 An empty table gives no rows; other columns are ignored.
 """
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -35,7 +37,9 @@ CELLS = 24
 HASHES = 3
 # The most cells that are peeled together; larger sets of pairs are taken in parts.
 TOGETHER = 1 << 19
-UNIT = re.compile(r"[^.,;!?\n]{1,240}[.,;!?]*")
+# Clause and sentence marks with their full-width, ideographic and half-width forms, and the line end.
+MARKS = r".,;!?\n\uff0e\uff0c\uff1b\uff01\uff1f\u3002\u3001\uff61\uff64"
+UNIT = re.compile(rf"[^{MARKS}]{{1,240}}[{MARKS}]*|[{MARKS}]+")
 # Odd constants of a 64-bit mixing function.
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -51,7 +55,8 @@ def units(text: str) -> np.ndarray:
     """The distinct digests of a text's units, ascending."""
     from xxhash import xxh3_64_intdigest
 
-    found = {xxh3_64_intdigest(u) for u in UNIT.findall(text)}
+    found = {xxh3_64_intdigest(u, seed=k)
+             for u, times in Counter(UNIT.findall(text)).items() for k in range(times)}
     return np.sort(np.fromiter(found, np.uint64, len(found)))
 
 

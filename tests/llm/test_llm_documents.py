@@ -327,6 +327,16 @@ def test_fingerprints_compare(docs, none):
     assert fingerprints.compare(fingerprints.with_next(none), "text", ["next_text"]).count() == 0
 
 
+def test_units_cover_every_character_and_count_repeats():
+    odd = [*filter(None, edges.texts().values()), "!!!", "\n\n.a", "...,b\n\n\nc", "一。二，三！？\n四、五"]
+    for text in odd:
+        assert "".join(fingerprints.UNIT.findall(text)) == text
+    assert likeness("", "!!!") == 0 and likeness("line\n", "line\n" * 1000) == 0.001
+    assert likeness("a.b.", "\na.b.") < 1 and likeness("a.b.", "b.a.") == 1
+    wide = "。".join(f"第{i}句話說得很長很長，第{i}句" for i in range(100))
+    assert likeness(wide, "新" + wide) > 0.98
+
+
 def test_op6_query(spark):
     ordered = sorted(table_texts(spark).items())
     got = {r.doc_id: r for r in queries.op6_fingerprints(spark, TESTDATA).collect()}
