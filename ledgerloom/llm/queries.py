@@ -79,13 +79,18 @@ def control_messages(spark: SparkSession) -> DataFrame:
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation is a tree with one path: a turn replies to the one before it."""
+    """Every conversation is a tree with one path: a turn replies to the one before it.
+
+    Rows without a conversation id are one conversation, as in SQL's groups; it has a tree of its own.
+    """
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     turns = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     numbered = rows.unionByName(control_messages(spark)).withColumn(
         "message_id", F.row_number().over(turns))
+    tree = F.struct(F.col("conv_id").isNull().alias("no_id"),
+                    F.coalesce("conv_id", F.lit(0).cast("long")).alias("id"))
     messages = numbered.select(
-        F.col("conv_id").alias("tree_id"), "message_id",
+        tree.alias("tree_id"), "message_id",
         (F.col("message_id") - 1).alias("parent_id"), "role", "text",
         F.lit(0.0).alias("score"))
     formatted = chat.format_paths(chat.paths(messages, top=1))
@@ -94,7 +99,7 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         chat.learned_text().alias("learned"))
     shown = "array_join(transform(turns, t -> concat(t.role, '\\n', t.text, '\\n')), '')"
     return read.select(
-        F.col("tree_id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.expr("IF(tree_id.no_id, NULL, tree_id.id)").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
         F.expr(f"sha2({shown}, 256)").alias("turns_sha256"),
         F.length("learned").cast("long").alias("loss_chars"),
         F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),

@@ -85,3 +85,15 @@ def test_op4_query(spark):
         assert r.n_turns == len(turns) and r.loss_chars == len(learned)
         assert r.turns_sha256 == brute.sha("".join(f"{role}\n{t}\n" for role, t in turns))
         assert r.loss_sha256 == brute.sha(learned)
+
+
+def test_op4_query_keeps_conversations_without_id(spark, tmp_path):
+    rows = [(0, 0, "user", "zero"), (0, 1, "assistant", "yes"), (None, 0, "user", "none"),
+            (None, 1, "assistant", "no"), (None, 2, "user", None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(
+        f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in queries.op4_chat(spark, str(tmp_path)).collect()}
+    assert got.keys() == {0, None, -7}
+    assert (got[None].n_turns, got[None].loss_chars) == (3, 2)
+    assert got[None].turns_sha256 == brute.sha("user\nnone\nassistant\nno\nuser\n\n")
+    assert got[0].n_turns == 2 and got[0].loss_sha256 == brute.sha("yes")
