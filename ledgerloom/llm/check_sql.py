@@ -188,6 +188,39 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
 FROM named LEFT JOIN sizes USING (doc_id)
 """
 
+LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP12 = rf"""
+WITH docs AS (SELECT doc_id, {TERMS.format(LOWER.format("text"))} AS w FROM documents),
+items AS (
+    SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
+           {TERMS.format(LOWER.format("text"))} AS w FROM benchmark
+),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + 9], ' ') AS g
+    FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0
+),
+found AS (
+    SELECT DISTINCT doc_id, i, x.k, x.g
+    FROM (SELECT DISTINCT k FROM windows) AS s, docs, unnest(range(1, len(w) - k + 2)) AS r(i)
+    JOIN (SELECT DISTINCT k, g FROM windows) AS x
+        ON x.k = s.k AND x.g = array_to_string(w[i:i + s.k - 1], ' ')
+),
+hits AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + k)) AS r(p)
+    GROUP BY doc_id
+),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM found JOIN windows USING (k, g)) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 CHECK_SQL: dict[str, str] = {
     "op2_warc": OP2,
     "op4_chat": OP4,
@@ -195,4 +228,5 @@ CHECK_SQL: dict[str, str] = {
     "op7_secret_scans": OP7,
     "op9_quality_rules": OP9,
     "op10_minhash": OP10,
+    "op12_decontamination": OP12,
 }

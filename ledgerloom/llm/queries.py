@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import (
     bpe,
     chat,
+    decontamination,
     fingerprints,
     minhash,
     packing,
@@ -159,6 +160,16 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontamination.build_index(table(spark, sf_dir, "documents"))
+    found = decontamination.phrases(index, table(spark, sf_dir, "benchmark"))
+    hit = F.expr("bigint(aggregate(spans, 0, (n, s) -> n + s.end - s.start))")
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
@@ -170,4 +181,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_minhash": op10_minhash,
+    "op12_decontamination": op12_decontamination,
 }
