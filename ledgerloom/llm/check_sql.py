@@ -221,6 +221,45 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP13 = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM documents, unnest(regexp_split_to_array(
+        {LOWER.format("text")}, '[.,;:!?\x0A-\x0D]')) AS p(piece)
+),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM pieces, unnest(range(1, 5)) AS q(k), unnest(range(1, len(w) - k + 2)) AS r(i)
+    GROUP BY ALL
+),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang),
+frequent AS (SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE f >= 30),
+inside AS (
+    SELECT DISTINCT x.lang, x.phrase
+    FROM (SELECT lang, f, array_to_string(w[i:i + m - 1], ' ') AS phrase
+          FROM frequent, unnest(range(2, 4)) AS q(m), unnest(range(1, k - m + 2)) AS r(i)
+          WHERE m < k) AS longer
+    JOIN frequent AS x ON x.lang = longer.lang AND x.phrase = longer.phrase
+    WHERE 100 * CAST(longer.f AS HUGEINT) >= 80 * CAST(x.f AS HUGEINT)
+),
+cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, c1 AS cut, x.f AS l, y.f AS r,
+           (2000000 * CAST(c.f AS HUGEINT)) // (CAST(x.f AS HUGEINT) + y.f) AS score
+    FROM frequent AS c, unnest(range(1, c.k)) AS q(c1)
+    JOIN grams AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c1], ' ')
+    JOIN grams AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c1 + 1:], ' ')
+    WHERE c.k > 1
+),
+lowest AS (
+    SELECT * FROM cuts ANTI JOIN inside USING (lang, phrase)
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM lowest) JOIN totals USING (lang)
+WHERE rank <= 2000
+"""
+
 CHECK_SQL: dict[str, str] = {
     "op2_warc": OP2,
     "op4_chat": OP4,
@@ -229,4 +268,5 @@ CHECK_SQL: dict[str, str] = {
     "op9_quality_rules": OP9,
     "op10_minhash": OP10,
     "op12_decontamination": OP12,
+    "op13_collocations": OP13,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import (
     bpe,
     chat,
+    collocations,
     decontamination,
     fingerprints,
     minhash,
@@ -170,6 +171,10 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
@@ -182,4 +187,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_minhash": op10_minhash,
     "op12_decontamination": op12_decontamination,
+    "op13_collocations": op13_collocations,
 }
