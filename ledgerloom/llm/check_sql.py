@@ -191,6 +191,107 @@ FROM named LEFT JOIN sizes USING (doc_id)
 LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+# The damage is dealt by CRC-32, bit by bit over a table; the repair is a shortest path over (rows done,
+# role that stands last), whose labels are (cost, audit).
+OP11 = r"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce(list_prepend(CAST(n AS BIGINT), range(8)), lambda c, b:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS steps
+    FROM range(256) AS r(n)
+),
+keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           list_prepend(4294967295, list_transform(string_split(concat(
+               coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')), ''),
+               lambda x: CAST(ascii(x) AS BIGINT))) AS bytes
+    FROM conversations
+),
+dealt AS (
+    SELECT conv_id, turn, role, text, xor(list_reduce(bytes, lambda c, b:
+               xor(c >> 8, steps[xor(c, b) % 256 + 1])), 4294967295) % 20 AS kind
+    FROM keyed, crc
+),
+hurt AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                ELSE text END AS text
+    FROM dealt, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END)
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id
+                                 ORDER BY turn NULLS FIRST, md5(concat(role, chr(10), text))) AS i
+    FROM hurt
+),
+judged AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                   WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate'
+                   WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated'
+              END AS fault
+    FROM placed
+),
+steps_ AS (SELECT conv_id, max(i) AS rows_ FROM judged GROUP BY conv_id),
+-- A label per role that may stand last ('' for none); inserts first, then the next row.
+walk(conv_id, i, last, label) AS (
+    SELECT conv_id, 0, '', {'cost': CAST(0 AS BIGINT), 'audit': '', 'said': CAST([] AS VARCHAR[])} FROM steps_
+    UNION ALL
+    SELECT conv_id, i + 1, last_, min(label_) FROM (
+        SELECT w.conv_id, w.i,
+               CASE e WHEN 'D' THEN w.l WHEN 'K' THEN left(j.role, 1)
+                      ELSE CASE w.l WHEN 'u' THEN 'a' ELSE 'u' END END AS last_,
+               {'cost': w.cost + CASE e WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+                    + CASE WHEN e <> 'D' AND j.fault = 'truncated' THEN 3 ELSE 0 END,
+                'audit': w.audit || e,
+                'said': CASE e WHEN 'D' THEN w.said WHEN 'K' THEN w.said || [j.role || ':' || j.text]
+                    ELSE w.said || [CASE w.l WHEN 'u' THEN 'assistant:' ELSE 'user:' END || j.text]
+                    END} AS label_
+        FROM (SELECT conv_id, i, last AS l, label.cost, label.audit, label.said FROM walk
+              UNION ALL
+              SELECT conv_id, i, CASE last WHEN 'u' THEN 'a' ELSE 'u' END, label.cost + 3,
+                     label.audit || 'I',
+                     label.said || [CASE last WHEN 'u' THEN 'assistant:' ELSE 'user:' END]
+              FROM walk) AS w
+        JOIN judged AS j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1,
+        unnest(['D', 'K', 'R']) AS q(e)
+        WHERE e = 'D' OR j.fault IS DISTINCT FROM 'blank' AND j.fault IS DISTINCT FROM 'duplicate'
+              AND (e = 'R' OR CASE left(j.role, 1) WHEN 's' THEN w.l = '' WHEN 'u' THEN w.l <> 'u'
+                                                   WHEN 'a' THEN w.l = 'u' ELSE false END)
+    ) GROUP BY conv_id, i, last_
+),
+ended AS (
+    SELECT w.conv_id, min({'cost': label.cost + 3 * (CASE last WHEN 's' THEN 2 WHEN 'u' THEN 1 ELSE 0 END),
+                         'audit': label.audit || CASE last WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END,
+                         'said': label.said || CASE last WHEN 's' THEN ['user:', 'assistant:']
+                                                         WHEN 'u' THEN ['assistant:'] ELSE [] END}) AS best
+    FROM walk AS w JOIN steps_ AS s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.rows_ = w.i
+    GROUP BY w.conv_id
+),
+pairs AS (
+    SELECT conv_id, left(role, 1) AS y, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS x, i
+    FROM judged
+),
+illegal_ AS (
+    SELECT conv_id, count(*) FILTER (WHERE i > 1 AND NOT (x = 's' AND y = 'u' OR x = 'u' AND y = 'a'
+                                                          OR x = 'a' AND y = 'u')) AS illegal
+    FROM pairs GROUP BY conv_id
+),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (WHERE fault = 'blank') AS blank,
+           count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+           count(*) FILTER (WHERE fault = 'truncated') AS truncated
+    FROM judged GROUP BY conv_id
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+       coalesce(best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN counted AS c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN illegal_ AS n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended AS e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 OP12 = rf"""
 WITH docs AS (SELECT doc_id, {TERMS.format(LOWER.format("text"))} AS w FROM documents),
 items AS (
@@ -267,6 +368,7 @@ CHECK_SQL: dict[str, str] = {
     "op7_secret_scans": OP7,
     "op9_quality_rules": OP9,
     "op10_minhash": OP10,
+    "op11_repair": OP11,
     "op12_decontamination": OP12,
     "op13_collocations": OP13,
 }

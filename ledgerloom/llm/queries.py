@@ -17,6 +17,7 @@ from ledgerloom.llm import (
     minhash,
     packing,
     quality,
+    repair,
     secrets,
     sharding,
     suffix_dedup,
@@ -161,6 +162,33 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with a fault in a quarter of their rows, by the CRC-32 of conversation and turn."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat_ws(":", *shown)) % 20
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("role", "text"))
+    rows = conversations.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+        .alias("text"), kind.alias("kind")).where("kind <> 0")
+    copies = F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.withColumn("copy", F.explode(copies)).drop("kind", "copy")
+
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    rows = repair.ordered(damaged(conversations))
+    plans = repair.plan(rows)
+    found = repair.report(rows, plans).drop("conv_id").join(
+        repair.digests(repair.repaired(rows, plans)), "conv", "left")
+    every = conversations.select("conv_id").distinct().select("conv_id", repair.key().alias("conv"))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(found, "conv", "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontamination.build_index(table(spark, sf_dir, "documents"))
     found = decontamination.phrases(index, table(spark, sf_dir, "benchmark"))
@@ -186,6 +214,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_minhash": op10_minhash,
+    "op11_repair": op11_repair,
     "op12_decontamination": op12_decontamination,
     "op13_collocations": op13_collocations,
 }
