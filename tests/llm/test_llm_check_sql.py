@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_queries_are_registered():
     names = set(entry_points.queries())
     assert names >= QUERIES.keys() | {"pipeline"} and CHECK_SQL.keys() <= QUERIES.keys()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(CHECK_SQL))
