@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import to_double
 from ledgerloom.operators import checks, history, slicing, upsert
 from ledgerloom.operators.materialize import materialize, shared_dir
-from ledgerloom.plans import inventory, marts, sales, serving, staging
+from ledgerloom.plans import daily_run, inventory, marts, sales, serving, staging
+from ledgerloom.plans.ledger_state import LedgerState
 from ledgerloom.plans.model_checks import model_checks, raw_checks
 from ledgerloom.session import prepare
+from ledgerloom.sinks.day_state import DayState
+from ledgerloom.sinks.history_table import HistoryTable
 from ledgerloom.sinks.publish import serving_projection
+from ledgerloom.sinks.tables import write_days
 from ledgerloom.sources import audit, files, lake, testbed
 from ledgerloom.sources.seed import cost_ratios
+from ledgerloom.streaming import feed, ingest
 
 PARAMS, AS_OF, LOADED_AT = testbed.PARAMS, testbed.AS_OF, testbed.LOADED_AT
 FACT_KEYS = ("order_date", "product_id")
@@ -200,8 +205,7 @@ def _late_window_slice(m: Models) -> DataFrame:
 
 
 def _events_daily(m: Models) -> DataFrame:
-    from ledgerloom.streaming.feed import daily_totals
-    return daily_totals(m.table("events"))
+    return feed.daily_totals(m.table("events"))
 
 
 def _fact_upsert(m: Models) -> DataFrame:
@@ -228,7 +232,7 @@ def _raw_lake_scan(m: Models) -> DataFrame:
     return lake.scan_raw(m.spark, path).drop("ingest_month")
 
 
-def _scd2_products(m: Models) -> DataFrame:
+def _product_versions(m: Models) -> list[tuple[DataFrame, dt.datetime]]:
     """Three snapshots: new products, changed categories, vanished and returning products."""
     part = m.table("part").select(F.col("p_partkey").cast("string").alias("product_id"),
                                   F.col("p_type").alias("category_pt"), F.col("p_size").alias("size"))
@@ -239,13 +243,147 @@ def _scd2_products(m: Models) -> DataFrame:
         (part.filter(size < 45).withColumn("category_pt", changed), dt.datetime(2001, 8, 2)),
         (part.filter(size > 2).withColumn("category_pt", changed), dt.datetime(2001, 8, 3)),
     ]
-    state = history.empty_history(versions[0][0].drop("size"))
+    return [(snapshot.drop("size"), at) for snapshot, at in versions]
+
+
+def _scd2_products(m: Models) -> DataFrame:
+    versions = _product_versions(m)
+    state = history.empty_history(versions[0][0])
     for snapshot, at in versions:
-        state = history.apply_snapshot(state, snapshot.drop("size"), "product_id",
-                                       ["category_pt"], at)
+        state = history.apply_snapshot(state, snapshot, "product_id", ["category_pt"], at)
     return state
 
 
+def scratch(m: Models, name: str) -> str:
+    """A new folder that all executors can reach."""
+    return f"{shared_dir(m.spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
+
+
+def _latest_orders(m: Models) -> DataFrame:
+    """The newest snapshot per order, from four batches out of order, the last one a replay."""
+    raw = m.raw("orders")
+    age = F.datediff("ingest_date", F.col("order_purchase_timestamp").cast("date"))
+    path, keys = scratch(m, "latest_orders"), ("order_id",)
+    for batch in (age >= 2, age == 0, age == 1, age >= 2):
+        feed.merge_latest(raw.filter(batch), path, keys, staging.ORDER_TIES, 16)
+    return feed.latest_table(m.spark, path, keys, staging.ORDER_TIES).read()
+
+
+def _scd2_products_buckets(m: Models) -> DataFrame:
+    """The snapshots of ``scd2_products`` on a stored history, the last one taken in twice."""
+    table = HistoryTable(m.spark, scratch(m, "history"), "product_id", ("category_pt",),
+                         "product_id string, category_pt string, valid_from timestamp_ntz, "
+                         "valid_to timestamp_ntz", 16)
+    for snapshot, at in [*_product_versions(m), _product_versions(m)[-1]]:
+        table.apply(snapshot, at)
+    return table.read()
+
+
+def _late_events(m: Models) -> DataFrame:
+    """Events in three batches, some held back to the last: daily totals and late rows per day."""
+    events = m.table("events")
+    day = F.dayofmonth("ts")
+    held = F.col("event_id") % 97 == 0
+    number = F.when(held, 2).otherwise(F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2))
+    days = feed.ClosedDays(m.spark, scratch(m, "closed_days"), events.schema, "3 days")
+    for batch in (0, 1, 2, 2):
+        days.add(events.filter(number == batch), batch)
+    on_time = days.totals(closed=True).unionByName(days.totals(closed=False))
+    late = days.late().groupBy(F.col("ts").cast("date").alias("event_day"), "event_type").agg(
+        F.count(F.lit(1)).alias("late_events"))
+    return on_time.join(late, ["event_day", "event_type"], "full").select(
+        "event_day", "event_type", F.coalesce("events", F.lit(0)).alias("events"),
+        F.coalesce("total_value", F.lit(0.0)).alias("total_value"),
+        F.coalesce("late_events", F.lit(0)).alias("late_events"))
+
+
+def _in_two_steps(m: Models, df: DataFrame, path: str) -> Iterator[None]:
+    """Write a day-partitioned table: all days but with too many units on some, then these again."""
+    units = "units_sold" if "units_sold" in df.columns else "units"
+    odd = F.dayofmonth("order_date") > 20
+    write_days(df.withColumn(units, F.when(odd, F.col(units) + 7).otherwise(F.col(units)))
+               .filter(F.dayofmonth("order_date") > 5), path, "order_date")
+    yield
+    write_days(df.filter(odd | (F.dayofmonth("order_date") <= 5)), path, "order_date")
+    yield
+
+
+def _ledger_state_health(m: Models) -> DataFrame:
+    """Inventory health from the ledger's state, brought up to date for changed and new days."""
+    daily = m.stored_daily().select("order_date", "product_id", "units_sold")
+    path = scratch(m, "sales_by_day")
+    state = LedgerState(m.spark, scratch(m, "ledger_state"), path,
+                        "order_date date, product_id string, units_sold bigint", PARAMS)
+    for _ in _in_two_steps(m, daily.withColumn("units_sold", F.col("units_sold").cast("bigint")), path):
+        state.refresh()
+    return state.health(m.attributes())
+
+
+def _dq_fact_by_day(m: Models) -> DataFrame:
+    """The fact's own checks, counted day by day and again only for days that changed."""
+    fact, path = materialize(m.fact(), "fact"), scratch(m, "fact_by_day")
+    own = [c for c in model_checks(PARAMS)
+           if c.model == "fct_daily_sales" and c.kind != "references"]
+    state = DayState(m.spark, scratch(m, "fact_checks"), f"order_date date, {checks.DAY_COUNTS}",
+                     path, daily_run.FACT_SCHEMA, "order_date")
+    for _ in _in_two_steps(m, fact, path):
+        state.refresh(lambda days: checks.day_counts(days, "order_date", own))
+    return checks.judge_days(state.read(), "model", own)
+
+
+def _calendar(order: Column) -> Column:
+    """A business day of a four-week calendar on which the orders of all years are placed."""
+    return F.date_add(F.lit(dt.date(2001, 1, 1)), (order.cast("bigint") % 28).cast("int"))
+
+
+def _calendar_orders(m: Models) -> DataFrame:
+    day = _calendar(F.col("order_id"))
+    return m.source_orders().withColumn(files.EVENT_TIME, day.cast("string")).withColumn(
+        "ingest_date", day)
+
+
+def _moved_orders_fact(m: Models) -> DataFrame:
+    """The streamed fact after some orders have moved on by twenty days and more."""
+    job = daily_run.Job(m.spark, "", scratch(m, "moved_orders"), PARAMS)
+    orders = materialize(_calendar_orders(m), "calendar_orders")
+    lines = m.raw("order_items").drop("ingest_date", "_ingest_date", "_loaded_at")
+    moved = F.col("order_id").cast("bigint") % 11 == 0
+    later = F.date_add("ingest_date", (20 + F.col("order_id").cast("bigint") % 3).cast("int"))
+    corrected = orders.filter(moved).withColumn("ingest_date", later).withColumn(
+        files.EVENT_TIME, F.col("ingest_date").cast("string"))
+    for table in ("products", "customers", "category_translation"):
+        raw = m.raw(table)
+        raw.write.partitionBy("ingest_date").parquet(lake.raw_path(job.root, table))
+    for batch in (orders, corrected):
+        keys = batch.select("order_id", "ingest_date")
+        # Corrected orders land beside those that are there already.
+        for table, rows in (("orders", batch), ("order_items", lines.join(keys, "order_id"))):
+            lake.stamp(rows, LOADED_AT).hint("rebalance", "ingest_date").write.mode("append").partitionBy(
+                "ingest_date").parquet(lake.raw_path(job.root, table))
+        feed.refresh_fact(job, feed.landed_keys(
+            keys.withColumn(files.EVENT_TIME, F.col("ingest_date").cast("string")),
+            keys.limit(0)))
+    return lake.read_table(m.spark, job.mart("fct_daily_sales"), daily_run.FACT_SCHEMA)
+
+
+def _ingested_files(m: Models) -> DataFrame:
+    """Order files streamed into the lake, two at a time; one breaks its contract and stays out."""
+    source = scratch(m, "source_files")
+    # Each file holds a week.
+    orders = _calendar_orders(m).withColumn("week", F.floor(
+        F.datediff("ingest_date", F.lit(dt.date(2001, 1, 1))) / 7).cast("int")).drop("ingest_date")
+    for week in range(4):
+        orders.filter(F.col("week") == week).drop("week").coalesce(1).write.option("header", True).csv(
+            f"{source}/orders/week{week}")
+    orders.drop("customer_id").coalesce(1).write.option("header", True).csv(f"{source}/orders/broken")
+    patterns = dict(files.SOURCE_FILES) | {"orders": "orders/*.csv"}
+    job = daily_run.Job(m.spark, source, scratch(m, "ingested"), PARAMS, patterns,
+                        clock=lambda: dt.datetime.fromisoformat(LOADED_AT))
+    ingest.stream_files(job, f"{job.root}/checkpoint", files_per_batch=2).awaitTermination()
+    return lake.read_raw(m.spark, job.root, "orders").select(
+        "order_id", "order_status", "ingest_date", "_ingest_date", "_loaded_at")
+
+
 def _model_results(m: Models) -> DataFrame:
     """All model checks. Models that several others or their checks read are stored first."""
     orders = materialize(staging.stg_orders(m.raw("orders")), "stg_orders")
@@ -331,15 +469,22 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "land_partitions": _land_partitions,
     "rows_landed": _rows_landed,
     "raw_lake_scan": _raw_lake_scan,
+    "ingested_files": _ingested_files,
     "raw_row_counts": lambda m: lake.row_counts(testbed.raw_tables(m.spark, m.dir)),
     "fact_trailing_batch": lambda m: m.fact_batch(m.early_fact()),
     "fact_upsert": _fact_upsert,
     "fact_upsert_twice": _fact_upsert_twice,
     "scd2_products": _scd2_products,
+    "scd2_products_buckets": _scd2_products_buckets,
     "events_daily": _events_daily,
+    "late_events": _late_events,
+    "latest_orders": _latest_orders,
+    "moved_orders_fact": _moved_orders_fact,
+    "ledger_state_health": _ledger_state_health,
     # Quality
     "dq_raw_gate": _raw_results,
     "dq_model_tests": _model_results,
+    "dq_fact_by_day": _dq_fact_by_day,
     "dq_summary": lambda m: checks.summary(_model_results(m)),
     "source_freshness": lambda m: marts.source_freshness(
         m.raw("orders"), AS_OF, PARAMS.freshness_warn_hours, PARAMS.freshness_error_hours),

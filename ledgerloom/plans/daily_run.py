@@ -6,9 +6,10 @@ The watermark is derived from that row, so a run that stops anywhere before it i
 whole, and every step may be repeated without counting anything twice.
 
 Staging, enrichment and the fact are rebuilt for the affected days only: raw partitions before the
-first of them are pruned, and dimensions are merged into a stored current version. The raw gate, the
-checks of fact and marts, the ledger and the executive marts read the whole lake or the whole stored
-fact, so a day that breaks after it was built is found by the next run.
+first of them are pruned, and dimensions are merged into a stored current version. A day that an order
+has left is rebuilt, too, however old. Executive marts, daily totals, the fact's checks and the ledger
+are derived anew for days whose files differ from the last run's, so a day that breaks after it was
+built is found by the next run, and no other day is read. The raw gate reads the whole lake.
 """
 
 from __future__ import annotations
@@ -25,15 +26,18 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import checks, slicing
 from ledgerloom.operators.conform import conform
 from ledgerloom.operators.dedup import latest_wins
-from ledgerloom.operators.history import apply_snapshot
 from ledgerloom.operators.upsert import trailing_start, upsert
 from ledgerloom.params import Params
-from ledgerloom.plans import inventory, marts, sales, staging
+from ledgerloom.plans import marts, sales, staging
+from ledgerloom.plans.ledger_state import LedgerState
 from ledgerloom.plans.model_checks import (
     mart_checks, parse_checks, raw_checks, sales_checks, staging_checks, status_checks,
 )
+from ledgerloom.plans.order_days import OrderDays
 from ledgerloom.session import prepare
 from ledgerloom.sinks import publish
+from ledgerloom.sinks.day_state import DayState
+from ledgerloom.sinks.history_table import HistoryTable
 from ledgerloom.sinks.tables import (
     day_files, drop_days, read_version, store, write_days, write_version,
 )
@@ -50,6 +54,12 @@ DAILY_SCHEMA = ("order_date date, product_id string, units_sold bigint, revenue
 HISTORY_SCHEMA = ("product_id string, category_pt string, valid_from timestamp_ntz, "
                   "valid_to timestamp_ntz")
 
+KPI_SCHEMA = ("order_date date, active_skus bigint, units bigint, revenue double, "
+              "gross_margin double, margin_pct double")
+CATEGORY_SCHEMA = ("order_date date, category_en string, units bigint, revenue double, "
+                   "cogs double, gross_margin double, margin_pct double")
+TOTAL_SCHEMA = "order_date date, units_sold bigint, revenue decimal(38,2)"
+
 # Key and tie-break columns of the dimensions kept in a stored current version.
 DIMENSIONS = {
     "products": (("product_id",), staging.PRODUCT_TIES),
@@ -64,7 +74,10 @@ def utc_now() -> dt.datetime:
 
 @dataclass(frozen=True)
 class Job:
-    """Where a run reads and writes, and the rules it applies."""
+    """Where a run reads and writes, and the rules it applies.
+
+    ``multi_line=False`` lets Spark split large source files; no value may hold a line break then.
+    """
 
     spark: SparkSession
     source_dir: str
@@ -72,6 +85,7 @@ class Job:
     params: Params = field(default_factory=Params)
     source_files: Mapping[str, str] = field(default_factory=lambda: dict(files.SOURCE_FILES))
     fact_mode: str = "key"
+    multi_line: bool = True
     clock: Callable[[], dt.datetime] = utc_now
 
     def mart(self, name: str) -> str:
@@ -215,6 +229,12 @@ def build_dimensions(job: Job, window: Window | None, relanded: bool = True
     return staged, attributes
 
 
+def product_history(job: Job) -> HistoryTable:
+    """The history of the products' categories."""
+    return HistoryTable(job.spark, job.model("product_history"), "product_id", ("category_pt",),
+                        HISTORY_SCHEMA)
+
+
 def reprocess_from(job: Job, window: Window | None) -> dt.date | None:
     """First business day to rebuild; None rebuilds all."""
     fact = lake.read_table(job.spark, job.mart("fct_daily_sales"), FACT_SCHEMA)
@@ -240,20 +260,21 @@ def _write_model_days(job: Job, df: DataFrame, path: str, since: dt.date | None,
     return lake.read_table(job.spark, path, schema)
 
 
-def check_days(fact: DataFrame, daily: DataFrame, built: Mapping[str, DataFrame],
+def check_days(kpis: DataFrame, sold: DataFrame, built: Mapping[str, DataFrame],
                exact: bool) -> None:
-    """Raise unless every mart has the fact's days and the fact has the units and revenue sold.
+    """Raise unless marts and daily sales have the fact's days, units and revenue.
 
-    With ``exact`` false the fact may keep keys that left the sales (updates by key), and days on
-    which it differs are logged.
+    All of them have a row or a few per day: ``kpis`` of the fact, ``sold`` of the daily sales,
+    ``built`` other marts. With ``exact`` false the fact may keep keys that left the sales (updates by
+    key), and days on which it differs are logged.
     """
-    days = fact.select("order_date").distinct()
+    days = kpis.select("order_date").distinct()
     for name, mart in built.items():
         other = mart.select("order_date").distinct()
         odd = days.exceptAll(other).unionByName(other.exceptAll(days)).count()
         if odd:
             raise checks.CheckFailure(f"{name} and the fact differ in {odd} days")
-    differing = marts.reconciliation(fact, daily).count()
+    differing = marts.reconciliation(kpis, sold).count()
     if differing and exact:
         raise checks.CheckFailure(f"the fact and the daily sales disagree on {differing} days")
     if differing:
@@ -305,11 +326,18 @@ def build_sales(job: Job, since: dt.date | None, attributes: DataFrame,
     return passed, lake.read_table(spark, path, FACT_SCHEMA)
 
 
-def rebuild_days(job: Job, days: Collection[dt.date], attributes: DataFrame) -> None:
+def order_days(job: Job) -> OrderDays:
+    """The business day on which each order counts."""
+    return OrderDays(job.spark, job.model("order_days"))
+
+
+def rebuild_days(job: Job, days: Collection[dt.date], attributes: DataFrame,
+                 exact: Collection[dt.date] = ()) -> None:
     """Rebuild the daily sales and the fact of single days, each from its own partitions.
 
-    All snapshots of a day's orders lie in the day's partition and those of the days that re-scan
-    it, and order lines land with their order.
+    The snapshots of a day's orders lie in the day's partition and those of the days that re-scan
+    it, and order lines land with their order. An order that has moved on to another day is told by
+    the index of order days. On ``exact`` days the fact keeps no key that left the sales.
     """
     spark, lookback = job.spark, job.params.lookback_days
     if not days:
@@ -322,14 +350,18 @@ def rebuild_days(job: Job, days: Collection[dt.date], attributes: DataFrame) ->
     def of_days(df: DataFrame) -> DataFrame:
         return df.filter(F.col("order_date").isin(list(days)))
 
+    headers = of_days(staging.order_headers(raw("orders")))
+    index = order_days(job)
+    if index.exists():
+        headers = index.counting(headers)
     enriched = sales.enriched_items(
-        staging.order_lines(raw("order_items")), of_days(staging.order_headers(raw("orders"))),
-        attributes, job.params)
+        staging.order_lines(raw("order_items")), headers, attributes, job.params)
     batch = store(sales.daily_product_sales(enriched), job.model("daily_sales_days"))
     fresh = conform(marts.fct_daily_sales(batch), "fct_daily_sales")
     path = job.mart("fct_daily_sales")
     if job.fact_mode != "window":
-        fresh = upsert(of_days(lake.read_table(spark, path, FACT_SCHEMA)), fresh, FACT_KEYS)
+        target = of_days(lake.read_table(spark, path, FACT_SCHEMA))
+        fresh = upsert(target.filter(~F.col("order_date").isin(list(exact))), fresh, FACT_KEYS)
     for df, where, schema in ((_as_daily(batch), job.model("daily_sales"), DAILY_SCHEMA),
                               (fresh, path, FACT_SCHEMA)):
         had = {r[0] for r in of_days(lake.read_table(spark, where, schema))
@@ -339,39 +371,94 @@ def rebuild_days(job: Job, days: Collection[dt.date], attributes: DataFrame) ->
         drop_days(spark, where, "order_date", sorted(had - has))
 
 
+def _day_state(job: Job, name: str, schema: str, of_fact: bool, tag: str = "") -> DayState:
+    """A few rows per day that follow from the stored fact or daily sales."""
+    source = (job.mart("fct_daily_sales"), FACT_SCHEMA) if of_fact else (
+        job.model("daily_sales"), DAILY_SCHEMA)
+    return DayState(job.spark, job.model(name), schema, *source, "order_date", tag)
+
+
+def day_totals(daily: DataFrame) -> DataFrame:
+    """Units and revenue of daily sales per day."""
+    return daily.groupBy("order_date").agg(
+        F.sum("units_sold").alias("units_sold"),
+        F.sum("revenue").cast("decimal(38,2)").alias("revenue"))
+
+
+def fact_checks() -> list[checks.Check]:
+    """The fact's checks that its days decide one by one."""
+    return [c for c in mart_checks() if c.model == "fct_daily_sales" and c.kind != "references"]
+
+
+def refresh_fact_checks(job: Job) -> DataFrame:
+    """Results of the fact's own checks: changed days are counted anew, all days judged."""
+    own = fact_checks()
+    state = _day_state(job, "fact_checks", f"order_date date, {checks.DAY_COUNTS}", of_fact=True,
+                       tag=",".join(c.name for c in own))
+    state.refresh(lambda days: checks.day_counts(days, "order_date", own))
+    return checks.judge_days(state.read(), "model", own, job.params.warn_only)
+
+
+def ledger_state(job: Job) -> LedgerState:
+    return LedgerState(job.spark, job.model("ledger_state"), job.model("daily_sales"), DAILY_SCHEMA,
+                       job.params)
+
+
+def refresh_day_marts(job: Job) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """KPIs, sales by category and daily totals, derived anew for changed days only."""
+    made = []
+    for name, schema, of_fact, derive in (
+            ("kpi_days", KPI_SCHEMA, True, marts.exec_kpis),
+            ("category_days", CATEGORY_SCHEMA, True, marts.sales_by_category),
+            ("total_days", TOTAL_SCHEMA, False, day_totals)):
+        state = _day_state(job, name, schema, of_fact)
+        state.refresh(derive)
+        made.append(state.read())
+    return tuple(made)
+
+
 def build_models(job: Job, window: Window | None) -> tuple[int, dict[str, DataFrame]]:
     """Rebuild what the window touches, or everything without one; return checks passed."""
-    spark, params = job.spark, job.params
+    params = job.params
     since = reprocess_from(job, window)
     stored, attributes = build_dimensions(job, window)
     passed, fact = build_sales(job, since, attributes, stored)
+    index = order_days(job)
+    index.update(stored["stg_orders"].select(
+        "order_id", "order_date", F.col("ingest_date").cast("string").alias("_ingest_date"),
+        F.col("loaded_at").cast("string").alias("_loaded_at")))
+    left = index.left()
+    rebuild_days(job, left, attributes, exact=left)
+    index.rebuilt(left)
 
-    path = job.model("product_history")
-    snapshot = stored["stg_products"].select("product_id", "category_pt")
-    history = read_version(spark, path, HISTORY_SCHEMA)
-    write_version(
-        apply_snapshot(history, snapshot, "product_id", ["category_pt"], job.clock()), path)
+    product_history(job).apply(stored["stg_products"], job.clock())
 
     dim = store(conform(marts.dim_product(attributes), "dim_product"), job.mart("dim_product"))
-    # A few rows per day, so they are rebuilt from the whole fact and cannot lose a day.
-    kpis = store(conform(marts.exec_kpis(fact), "mart_exec_kpis"), job.mart("mart_exec_kpis"))
-    by_category = store(marts.sales_by_category(fact), job.mart("mart_sales_by_category"))
-    daily = stored["daily_sales"]
-    check_days(fact, daily, {"mart_exec_kpis": kpis, "mart_sales_by_category": by_category},
+    kpi_days, category_days, sold = refresh_day_marts(job)
+    kpis = store(conform(kpi_days, "mart_exec_kpis"), job.mart("mart_exec_kpis"))
+    by_category = store(category_days, job.mart("mart_sales_by_category"))
+    check_days(kpis, sold, {"mart_sales_by_category": by_category},
                exact=since is None or job.fact_mode == "window")
-    health = store(
-        conform(inventory.inventory_health_closed(daily, params, attributes),
-                "mart_inventory_health"), job.mart("mart_inventory_health"))
+    ledger = ledger_state(job)
+    ledger.refresh()
+    health = store(conform(ledger.health(attributes), "mart_inventory_health"),
+                   job.mart("mart_inventory_health"))
 
     models = {
-        "int_inventory_position": inventory.inventory_position(daily, params, attributes),
         "dim_product": dim,
         "fct_daily_sales": fact,
         "mart_exec_kpis": kpis,
         "mart_sales_by_category": by_category,
         "mart_inventory_health": health,
     }
-    results = checks.run_checks("model", models, mart_checks(), params.warn_only)
+    whole = [c for c in mart_checks() if c.model in models and c.model != "fct_daily_sales"]
+    of_ledger = [c for c in mart_checks() if c.model == "int_inventory_position"]
+    products = [c for c in mart_checks() if c.kind == "references"]
+    orphans = [(c, ledger.orphans(dim, c.parent[1]).first()[0]) for c in products]
+    results = checks.run_checks("model", models, whole, params.warn_only).unionByName(
+        refresh_fact_checks(job)).unionByName(
+        checks.as_results(job.spark, "model", orphans, params.warn_only)).unionByName(
+        ledger.checks(of_ledger, attributes, params.warn_only))
     passed += checks.raise_on_failure(results)[0]
     return passed, models
 
@@ -385,7 +472,7 @@ def run(job: Job, mode: str = "incremental", start: dt.date | None = None,
     record = audit.RunRecord(uuid.uuid4().hex[:12], started, started, mode, None, None, 0, 0, 0,
                              "FAIL")
     try:
-        sources = files.read_sources(spark, job.source_dir, job.source_files)
+        sources = files.read_sources(spark, job.source_dir, job.source_files, job.multi_line)
         check_contracts(job, sources, start or started.date(), record.run_id)
         first_day, last_day, unreadable = files.event_profile(sources["orders"]).first()
         bounds = spark.createDataFrame([(first_day, last_day)], "first_day date, last_day date")

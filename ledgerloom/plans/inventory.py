@@ -51,13 +51,14 @@ def _with_category(rows: DataFrame, attributes: DataFrame | None) -> DataFrame:
     return joined.fillna(UNKNOWN, ["category_pt", "category_en"])
 
 
-def _dense(daily: DataFrame, attributes: DataFrame | None = None) -> DataFrame:
+def _dense(daily: DataFrame, attributes: DataFrame | None = None,
+           span: Column | None = None) -> DataFrame:
     """Every product on every day, zero-filled, with running and total units.
 
     A product sold under two categories on one day has two rows there; they are one sale day,
     under the greater of the categories.
     """
-    span = _span(daily)
+    span = _span(daily) if span is None else span
     sold = _per_day(daily).selectExpr(
         "*",
         "sum(units_sold) OVER (PARTITION BY product_id ORDER BY order_date "
@@ -83,7 +84,7 @@ def _dense(daily: DataFrame, attributes: DataFrame | None = None) -> DataFrame:
         F.when(F.col("inv_date") < F.col("order_date"), F.lit(0)).otherwise(F.col("_cum"))
         .alias("cum_units"),
         F.datediff("inv_date", first_day).alias("days_elapsed"),
-        _demand(F.col("_total"), F.datediff(last_day, first_day) + 1),
+        demand(F.col("_total"), F.datediff(last_day, first_day) + 1),
     )
 
 
@@ -98,7 +99,8 @@ def _per_day(daily: DataFrame) -> DataFrame:
         *sums, category).select("product_id", "order_date", "units_sold", "revenue", "_category.*")
 
 
-def _demand(total_units: Column, days: Column) -> Column:
+def demand(total_units: Column, days: Column) -> Column:
+    """Mean units a day, as ``expected_daily_demand``."""
     mean = total_units.cast("double") / days.cast("double")
     return F.greatest(mean, F.lit(MIN_DAILY_DEMAND)).alias("expected_daily_demand")
 
@@ -113,15 +115,15 @@ def inventory_grid(daily: DataFrame) -> DataFrame:
                                 "units_sold", "revenue")
 
 
-def _ledger(state: DataFrame, params: Params) -> DataFrame:
+def ledger(state: DataFrame, params: Params) -> DataFrame:
     """Stock columns of rows with cum_units, days_elapsed and expected_daily_demand.
 
     Later columns refer to earlier ones of the same select.
     """
-    demand = F.col("expected_daily_demand")
+    per_day = F.col("expected_daily_demand")
 
     def cover(days: int, floor: int) -> Column:
-        units = F.ceil(demand * F.lit(float(days)) * F.col("_factor"))
+        units = F.ceil(per_day * F.lit(float(days)) * F.col("_factor"))
         return F.greatest(F.lit(floor), units).cast("bigint")
 
     restocks = F.floor(F.col("days_elapsed") / F.lit(params.restock_interval_days))
@@ -134,9 +136,9 @@ def _ledger(state: DataFrame, params: Params) -> DataFrame:
         (F.col("opening_stock") + F.col("cum_replenishment")).alias("total_supply"),
         (F.col("total_supply") - F.col("cum_units")).alias("on_hand"),
         F.greatest(F.col("on_hand"), F.lit(0)).alias("on_hand_units"),
-        F.ceil(demand * F.lit(float(params.reorder_point_days))).cast("bigint")
+        F.ceil(per_day * F.lit(float(params.reorder_point_days))).cast("bigint")
         .alias("reorder_point"),
-        round_half_away(F.col("on_hand_units").cast("double") / demand, 1)
+        round_half_away(F.col("on_hand_units").cast("double") / per_day, 1)
         .alias("days_of_supply"),
         (F.col("on_hand") <= F.col("reorder_point")).alias("is_stockout_risk"),
         (F.col("on_hand") <= 0).alias("is_stockout"),
@@ -148,9 +150,10 @@ def _ledger(state: DataFrame, params: Params) -> DataFrame:
 
 
 def inventory_position(daily: DataFrame, params: Params,
-                       attributes: DataFrame | None = None) -> DataFrame:
-    """The ledger, one row per product and day."""
-    return _ledger(_dense(daily, attributes), params).select(
+                       attributes: DataFrame | None = None,
+                       span: Column | None = None) -> DataFrame:
+    """The ledger, one row per product and day; ``span`` where ``daily`` is a part of the sales."""
+    return ledger(_dense(daily, attributes, span), params).select(
         "product_id", "category_pt", "category_en", "inv_date",
         F.col("units_sold").cast("bigint").alias("units_sold"),
         F.col("revenue").cast("double").alias("revenue"),
@@ -175,15 +178,21 @@ def latest_position(daily: DataFrame, params: Params,
     if attributes is None:
         totals = totals.select("product_id", "cum_units", "_last.category_pt", "_last.category_en")
     span = _span(daily)
-    first_day, last_day = span.getField("first_day"), span.getField("last_day")
+    return position_of_totals(totals, span.getField("first_day"), span.getField("last_day"), params,
+                              attributes)
+
+
+def position_of_totals(totals: DataFrame, first_day: Column, last_day: Column, params: Params,
+                       attributes: DataFrame | None = None) -> DataFrame:
+    """The last day's ledger from the units of each product, ``cum_units``."""
     elapsed = F.datediff(last_day, first_day)
     state = _with_category(totals, attributes).select(
         "product_id", "category_pt", "category_en", "cum_units",
         last_day.alias("inv_date"),
         elapsed.alias("days_elapsed"),
-        _demand(F.col("cum_units"), elapsed + 1),
+        demand(F.col("cum_units"), elapsed + 1),
     )
-    return _ledger(state, params)
+    return ledger(state, params)
 
 
 def health(positions: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _files(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """Hadoop path and file system, so any store Spark can write to works."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -23,12 +23,12 @@ def _files(spark: SparkSession, path: str):
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
     """Finished versions of a table, oldest first."""
-    target, fs = _files(spark, path)
+    target, fs = hadoop_path(spark, path)
     if not fs.exists(target):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(target)]
     return sorted(n for n in names if n.startswith("v")
-                  and fs.exists(_files(spark, f"{path}/{n}/_SUCCESS")[0]))
+                  and fs.exists(hadoop_path(spark, f"{path}/{n}/_SUCCESS")[0]))
 
 
 def read_version(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -50,7 +50,7 @@ def write_version(df: DataFrame, path: str) -> DataFrame:
     number = int(finished[-1][1:]) + 1 if finished else 1
     written = store(df, f"{path}/v{number:010d}")
     for old in finished[:-1]:
-        target, fs = _files(spark, f"{path}/{old}")
+        target, fs = hadoop_path(spark, f"{path}/{old}")
         fs.delete(target, True)
     return written
 
@@ -73,7 +73,7 @@ def day_files(spark: SparkSession, path: str, day_column: str,
     """The data files of those of the day partitions that exist. Every write names its files anew."""
     found = {}
     for day in days:
-        partition, fs = _files(spark, f"{path}/{day_column}={day.isoformat()}")
+        partition, fs = hadoop_path(spark, f"{path}/{day_column}={day.isoformat()}")
         if fs.exists(partition):
             found[day] = frozenset(s.getPath().getName() for s in fs.listStatus(partition))
     return found
@@ -82,6 +82,6 @@ def day_files(spark: SparkSession, path: str, day_column: str,
 def drop_days(spark: SparkSession, path: str, day_column: str, days: Iterable[dt.date]) -> None:
     """Delete whole day partitions, which a dynamic overwrite without rows for them keeps."""
     for day in days:
-        partition, fs = _files(spark, f"{path}/{day_column}={day.isoformat()}")
+        partition, fs = hadoop_path(spark, f"{path}/{day_column}={day.isoformat()}")
         fs.delete(partition, True)
     spark.catalog.refreshByPath(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -46,19 +46,24 @@ def source_paths(spark: SparkSession, directory: str, table: str,
     return paths
 
 
-def read_headers(spark: SparkSession, directory: str, table: str,
-                 files: Mapping[str, str] = SOURCE_FILES) -> dict[str, tuple[str, ...]]:
-    """The column names in every file of a table, as they stand there; one record is read of each."""
+def headers_of(spark: SparkSession, paths: Iterable[str]) -> dict[str, tuple[str, ...]]:
+    """The column names in each file, as they stand there; one record is read of each."""
     headers = {}
-    for path in source_paths(spark, directory, table, files):
+    for path in paths:
         first = _reader(spark, header=False, multi_line=True).csv(path).first()
         headers[path] = tuple(name or "" for name in first or ())
     return headers
 
 
-def read_source(spark: SparkSession, directory: str, table: str,
-                files: Mapping[str, str] = SOURCE_FILES, multi_line: bool = True) -> DataFrame:
-    """One source table with the column names of its own headers.
+def read_headers(spark: SparkSession, directory: str, table: str,
+                 files: Mapping[str, str] = SOURCE_FILES) -> dict[str, tuple[str, ...]]:
+    """The column names in every file of a table."""
+    return headers_of(spark, source_paths(spark, directory, table, files))
+
+
+def read_files(spark: SparkSession, headers: Mapping[str, tuple[str, ...]],
+               multi_line: bool = True) -> DataFrame:
+    """Files of one table, given with their headers.
 
     No schema is given: Spark would bind it by position and hide a changed header from the
     contract check. Files whose headers differ are read apart and united by name. Only empty text
@@ -66,13 +71,19 @@ def read_source(spark: SparkSession, directory: str, table: str,
     task; where no value has any, ``multi_line=False`` lets Spark split large files.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in read_headers(spark, directory, table, files).items():
+    for path, header in headers.items():
         groups.setdefault(header, []).append(path)
     reader = _reader(spark, header=True, multi_line=multi_line)
     parts = [reader.csv(paths) for paths in groups.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def read_source(spark: SparkSession, directory: str, table: str,
+                files: Mapping[str, str] = SOURCE_FILES, multi_line: bool = True) -> DataFrame:
+    """One source table with the column names of its own headers; see ``read_files``."""
+    return read_files(spark, read_headers(spark, directory, table, files), multi_line)
+
+
 def read_sources(spark: SparkSession, directory: str, files: Mapping[str, str] = SOURCE_FILES,
                  multi_line: bool = True) -> dict[str, DataFrame]:
     return {table: read_source(spark, directory, table, files, multi_line) for table in files}

@@ -87,7 +87,7 @@ def test_daily_runs_to_the_end_of_the_source(shop):
     assert (tile["pipeline_health"], tile["tests_passed"]) == ("PASSING", 54)
     assert tile["data_through_date"] == rf.day(9)
 
-    history = read_version(spark, job.model("product_history"), dr.HISTORY_SCHEMA)
+    history = dr.product_history(job).read()
     of_p0 = history.filter("product_id = 'p0'").orderBy("valid_from").collect()
     assert [r["category_pt"] for r in of_p0] == ["cama_mesa_banho", "beleza_saude"]
     assert of_p0[0]["valid_to"] == of_p0[1]["valid_from"] and of_p0[1]["valid_to"] is None
@@ -121,6 +121,29 @@ def test_daily_runs_to_the_end_of_the_source(shop):
     assert reconciliation(spark.read.parquet(job.mart("fct_daily_sales")), daily).count() == 0
 
 
+def test_a_moved_order_ends_on_one_day(shop):
+    """An order of the first run is corrected to a day far beyond the look-back."""
+    job, made, tmp = shop
+    dr.run(job)
+    moved = copy.deepcopy(made)
+    moved["orders"][0]["order_purchase_timestamp"] = f"{rf.day(9)} 12:00:00"
+    rf.write(tmp / "source", moved)
+    read = []
+    real = dr.DayState.refresh
+    try:
+        dr.DayState.refresh = lambda self, derive: read.append(real(self, derive)) or read[-1]
+        dr.run(job)
+    finally:
+        dr.DayState.refresh = real
+    assert fact(job) == rf.expected_fact(moved)
+    # Days that neither a run nor a moved order touches are not derived again.
+    assert all(rf.day(0) in days and rf.day(2) not in days for days in read) and len(read) == 4
+    before = fact(job)
+    assert dr.full_refresh(job) == 53 and fact(job) == before
+    daily = lake.read_table(job.spark, job.model("daily_sales"), dr.DAILY_SCHEMA)
+    assert reconciliation(job.spark.read.parquet(job.mart("fct_daily_sales")), daily).count() == 0
+
+
 def test_key_and_window_mode_differ_on_a_vanished_key(spark, tmp_path):
     made = rf.tables()
     gone = copy.deepcopy(made)
