@@ -106,7 +106,7 @@ class Models:
         return inventory.inventory_position(self.brand_daily(), PARAMS)
 
     def health(self) -> DataFrame:
-        return inventory.inventory_health(self.position())
+        return inventory.inventory_health_closed(self.brand_daily(), PARAMS)
 
     def status(self) -> DataFrame:
         return marts.run_status(self.audit(), self.fact(), AS_OF)

@@ -35,7 +35,7 @@ from ledgerloom.plans.model_checks import (
 )
 from ledgerloom.plans.order_days import OrderDays
 from ledgerloom.session import prepare
-from ledgerloom.sinks import publish
+from ledgerloom.sinks import manifest, publish
 from ledgerloom.sinks.day_state import DayState
 from ledgerloom.sinks.history_table import HistoryTable
 from ledgerloom.sinks.tables import (
@@ -466,11 +466,22 @@ def build_models(job: Job, window: Window | None) -> tuple[int, dict[str, DataFr
 def run(job: Job, mode: str = "incremental", start: dt.date | None = None,
         end: dt.date | None = None,
         publisher: Callable[[dict[str, DataFrame]], None] | None = None) -> Outcome:
-    """One run. ``publisher`` gets the marts to serve, the run status separately and last."""
-    spark = prepare(job.spark)
+    """One run. ``publisher`` gets the marts to serve, the run status separately and last.
+
+    A run claims the warehouse; one that starts while another is at work raises ``ConcurrentWrite``
+    and changes nothing.
+    """
+    prepare(job.spark)
     started = job.clock()
     record = audit.RunRecord(uuid.uuid4().hex[:12], started, started, mode, None, None, 0, 0, 0,
                              "FAIL")
+    with manifest.writing(job.spark, f"{job.root}/meta/run", f"run {record.run_id}", started):
+        return _run(job, record, start, end, publisher)
+
+
+def _run(job: Job, record: audit.RunRecord, start: dt.date | None, end: dt.date | None,
+         publisher: Callable[[dict[str, DataFrame]], None] | None) -> Outcome:
+    spark, started = job.spark, record.run_started_at
     try:
         sources = files.read_sources(spark, job.source_dir, job.source_files, job.multi_line)
         check_contracts(job, sources, start or started.date(), record.run_id)

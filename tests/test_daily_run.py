@@ -12,7 +12,7 @@ from ledgerloom.operators.checks import CheckFailure
 from ledgerloom.params import Params
 from ledgerloom.plans import daily_run as dr
 from ledgerloom.plans.marts import reconciliation
-from ledgerloom.sinks import publish
+from ledgerloom.sinks import manifest, publish
 from ledgerloom.sinks.tables import read_version, write_days, write_version
 from ledgerloom.sources import audit, lake
 from ledgerloom.sources.contracts import SchemaDrift, drift
@@ -57,6 +57,18 @@ def test_source_text_is_kept(shop):
         read_source(job.spark, source_dir(job.source_dir, sample=True), "orders")
 
 
+def test_large_files_are_split_where_no_value_has_a_line_break(shop):
+    job, made, _ = shop
+    job.spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    try:
+        whole, split = (read_source(job.spark, job.source_dir, "orders", multi_line=m)
+                        for m in (True, False))
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert split.count() == len(made["orders"]) and split.exceptAll(whole).count() == 0
+    finally:
+        job.spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_daily_runs_to_the_end_of_the_source(shop):
     job, made, tmp = shop
     exports = str(tmp / "exports")
@@ -144,6 +156,14 @@ def test_a_moved_order_ends_on_one_day(shop):
     assert reconciliation(job.spark.read.parquet(job.mart("fct_daily_sales")), daily).count() == 0
 
 
+def test_of_two_runs_one_stops(shop):
+    job, _, _ = shop
+    with manifest.writing(job.spark, f"{job.root}/meta/run", "run abc", job.clock()):
+        with pytest.raises(manifest.ConcurrentWrite, match="run abc has been writing"):
+            dr.run(job)
+    assert runs(job) == [] and lake.read_raw(job.spark, job.root, "orders").count() == 0
+
+
 def test_key_and_window_mode_differ_on_a_vanished_key(spark, tmp_path):
     made = rf.tables()
     gone = copy.deepcopy(made)
