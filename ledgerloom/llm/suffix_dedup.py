@@ -23,8 +23,8 @@ suffix arrays are built for the windows that need them:
 Grams that many segments of one block have are known to be heavy there: their rows are dealt by
 content too, and one marker row tells the rest of the gram's rows that there are other contents.
 
-Defined results: a null text is empty. Null ids come first. Rows with one id are ordered by a hash
-of their text; equal rows (id and text) are one document and get the same result. An empty table
+Defined results: a null text is empty. Null ids come first. Rows with one id are ordered by a
+64-bit hash of their text; equal rows (id and text) are one document and get the same result. An empty table
 gives no rows. Other columns are ignored by ``find_repeats`` and passed through by ``remove_repeats``.
 """
 
@@ -116,7 +116,7 @@ def segments(data: np.ndarray, ends: np.ndarray, settings: Settings) -> tuple[np
     return start, windows, hashes[at[start]], content
 
 
-ROWS = "gram long, tag int, content long, doc long, tie int, at long"
+ROWS = "gram long, tag int, content long, doc long, tie long, at long"
 
 
 def _segment_rows(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -154,7 +154,7 @@ def _segment_rows(docs: DataFrame, settings: Settings) -> DataFrame:
             np.concatenate([tag[keep], zeros]).astype(np.int32),
             np.concatenate([content.view(np.int64)[keep], zeros + marker]),
             np.concatenate([doc[keep], zeros + NO_ID]),
-            np.concatenate([tie[keep], zeros]).astype(np.int32),
+            np.concatenate([tie[keep], zeros]),
             np.concatenate([(start << 8 | windows)[keep], zeros])]
         return pa.RecordBatch.from_arrays(
             [pa.array(c) for c in columns], [c.split()[0] for c in ROWS.split(", ")])
@@ -207,7 +207,7 @@ def _sliced(batch: pa.RecordBatch, rows: int = 50_000) -> Iterator[pa.RecordBatc
 
 def _source(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.hash(text_or_empty()).alias("tie"), text_or_empty().alias("text"))
+                       F.xxhash64(text_or_empty()).alias("tie"), text_or_empty().alias("text"))
 
 
 def _judged(rows: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def _judged(rows: DataFrame) -> DataFrame:
 
 def compressed(docs: DataFrame, carry: list[T.StructField]) -> DataFrame:
     """``doc``, ``tie``, ``packed`` (the compressed UTF-8 text) and the carried columns."""
-    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("tie", T.IntegerType()),
+    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("tie", T.LongType()),
                            T.StructField("packed", T.BinaryType()), *carry])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,12 +245,12 @@ def compressed(docs: DataFrame, carry: list[T.StructField]) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-PLACES = "doc long, tie int, start long, stop long"
+PLACES = "doc long, tie long, start long, stop long"
 
 
 def _with_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The segments of ``wanted`` (gram, doc, tie, start, windows, stop) with their bytes."""
-    schema = "gram long, doc long, tie int, start long, windows int, bytes binary"
+    schema = "gram long, doc long, tie long, start long, windows int, bytes binary"
     lists = wanted.groupBy("doc", "tie").agg(
         F.collect_list(F.struct("gram", "start", "windows", "stop")).alias("list"))
     texts = compressed(_source(docs), [])
@@ -266,7 +266,7 @@ def _with_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 rows += [(c["gram"], doc, tie, c["start"], c["windows"],
                           raw[c["start"]:c["stop"]]) for c in cuts]
             for at in range(0, len(rows), 10_000):
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows[at:at + 10_000]), kinds)],
                     [c.split()[0] for c in schema.split(", ")])
@@ -322,7 +322,7 @@ def _shard_places(parts: DataFrame, settings: Settings) -> DataFrame:
                     place[heads] + settings.length)
             out = [np.concatenate(c) for c in zip(out, more)]
         nothing = pa.nulls(len(who), pa.int64())
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+        kinds = (pa.int64(),) * 4
         return pa.Table.from_arrays(
             [*[pa.array(c, t) for c, t in zip(out, kinds)],
              pa.concat_arrays([nothing, pa.array(one, pa.int64())]),
@@ -403,7 +403,7 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(),
     row = T.StructField("row", T.StructType(others))
     texts = compressed(docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.hash(text_or_empty()).alias("tie"), text_or_empty().alias("text"),
+        F.xxhash64(text_or_empty()).alias("tie"), text_or_empty().alias("text"),
         F.struct(*[F.col(f"`{f.name}`") for f in others]).alias("row")), [row])
     places = materialize(find_repeats(docs, settings).groupBy("doc", "tie").agg(
         F.collect_set(F.struct("start", "stop")).alias("places")), "repeat_lists")
