@@ -47,6 +47,27 @@ def encoding(vocabulary: str, pattern: str):
     return _encodings[key]
 
 
+# Runs of white space from this length on are encoded apart: the library gives up on very long ones.
+LONG_RUN = 4_096
+
+
+def encode_text(encoder, text: str) -> list[int]:
+    """The ids of a text as ``encode_ordinary`` gives them, also where that fails on its blanks.
+
+    Of a run of white space, the pattern takes all but the last character as one match if something
+    follows, and all of it at the end; what follows starts with the last character.
+    """
+    import regex
+
+    ids, at = [], 0
+    for run in regex.finditer(rf"\p{{White_Space}}{{{LONG_RUN},}}", text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoder.encode_ordinary(text[at:run.start()])
+        ids += encoder._encode_single_piece(text[run.start():stop])
+        at = stop
+    return ids + encoder.encode_ordinary(text[at:]) if at else encoder.encode_ordinary(text)
+
+
 def boundaries(text: str, pattern: str) -> list[int]:
     """Starts of the pre-tokens of ``text``."""
     import regex
@@ -57,9 +78,9 @@ def boundaries(text: str, pattern: str) -> list[int]:
 def _encode_texts(rows: DataFrame, keys: str, vocabulary: str, pattern: str) -> DataFrame:
     """``rows`` of key columns and a text, with the ids in place of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(vocabulary, pattern).encode_ordinary
+        encoder = encoding(vocabulary, pattern)
         for batch in utf8_slices(batches, 64):
-            ids = pa.array([encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()],
+            ids = pa.array([encode_text(encoder, t) for t in batch.column(batch.num_columns - 1).to_pylist()],
                            pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], ids], [*batch.schema.names[:-1], "ids"])
