@@ -228,6 +228,11 @@ def write_archives(pages: DataFrame, folder: str, *, least: int = 100,
     return pages.sparkSession.read.schema(FILES).parquet(listed)
 
 
+# Reading: up to so many tasks, whatever they read, and from there on a task for so many bytes.
+LEAST_PARTS = 200
+PART_BYTES = 64 << 20
+
+
 def locate(archives: DataFrame, range_bytes: int = 4 << 20) -> DataFrame:
     """Byte ranges of whole records: ``path``, ``start`` and the record ``sizes`` in the range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,14 +246,15 @@ def locate(archives: DataFrame, range_bytes: int = 4 << 20) -> DataFrame:
                 found = members(read, file.size())
                 data_at, _ = found[DATA]
                 lines = read(*found[INDEX]).decode().split("\n")
-            start, sizes = data_at, []
+            start, sizes, held = data_at, [], 0
             for line in lines:
                 _, at, n = json.loads(line)
-                if sizes and sum(sizes) + n > range_bytes:
+                if sizes and held + n > range_bytes:
                     yield pa.RecordBatch.from_pydict(
                         {"path": [path], "start": [start], "sizes": [sizes]})
-                    start, sizes = data_at + at, []
+                    start, sizes, held = data_at + at, [], 0
                 sizes.append(n)
+                held += n
             yield pa.RecordBatch.from_pydict({"path": [path], "start": [start], "sizes": [sizes]})
 
     return archives.select("path").repartition("path").mapInArrow(
@@ -280,4 +286,12 @@ def read_records(archives: DataFrame, range_bytes: int = 4 << 20) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(zip(*rows[i:i + 64]), kinds)],
                     [f.split()[0] for f in RECORDS.split(", ")])
 
-    return locate(archives, range_bytes).repartition("path", "start").mapInArrow(run, RECORDS)
+    ranges = materialize(locate(archives, range_bytes), "warc_ranges")
+    # A range is a short row that stands for megabytes, so its partitions are numbered: Spark would
+    # fold rows of so few bytes into one task.
+    parts = max(1, min(ranges.count(), max(LEAST_PARTS, _bytes(ranges) // PART_BYTES)))
+    return ranges.repartition(parts, "path", "start").mapInArrow(run, RECORDS)
+
+
+def _bytes(ranges: DataFrame) -> int:
+    return ranges.agg(F.sum(F.expr("aggregate(sizes, 0L, (n, s) -> n + s)"))).first()[0] or 0
