@@ -75,10 +75,24 @@ def _cuts(rule: Rule) -> str:
         f" regexp_extract_all(_text, '{pattern}', {rule.group}) AS groups), NULL)")
 
 
+def _pairs(rules: Sequence[Rule]) -> str:
+    pairs = ", ".join(f"struct('{r.kind}' AS kind, {r.version} AS version)" for r in rules)
+    return f"array({pairs})"
+
+
 def scan_blobs(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Ledger rows for every (blob, rule) pair, also where nothing is found."""
-    cut = blobs.selectExpr("blob", "text AS _text").selectExpr(
-        "blob", f"array({', '.join(_cuts(r) for r in rules)}) AS _cuts")
+    """Ledger rows for every (blob, rule) pair, also where nothing is found.
+
+    Where ``blobs`` has ``missing``, an array of (kind, version), only those rules are run on the blob.
+    """
+    def wanted(rule: Rule) -> str:
+        if "missing" not in blobs.columns:
+            return _cuts(rule)
+        lacks = f"exists(missing, m -> m.kind = '{rule.kind}' AND m.version = {rule.version})"
+        return f"IF({lacks}, {_cuts(rule)}, NULL)"
+
+    cut = blobs.withColumnRenamed("text", "_text").selectExpr(
+        "blob", f"array({', '.join(wanted(r) for r in rules)}) AS _cuts")
     # A row per match: the lengths of the piece before it, of the match and of its group.
     found = cut.selectExpr("blob", "inline(filter(_cuts, c -> c IS NOT NULL))").selectExpr(
         "blob", "kind", "version", "least",
@@ -90,8 +104,8 @@ def scan_blobs(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         "cut.decisive >= least")
     listed = spans.groupBy("blob", "kind", "version").agg(
         F.sort_array(F.collect_list(F.expr("struct(_end - cut.span AS s, _end AS e)"))).alias("l"))
-    none = ", ".join(f"struct('{r.kind}' AS kind, {r.version} AS version)" for r in rules)
-    pairs = blobs.selectExpr("blob", f"inline(array({none}))")
+    pairs = blobs.selectExpr(
+        "blob", f"inline({'missing' if 'missing' in blobs.columns else _pairs(rules)})")
     return pairs.join(listed, ["blob", "kind", "version"], "left").selectExpr(
         "blob", "kind", "version",
         "coalesce(transform(l, x -> x.s), CAST(array() AS array<bigint>)) AS starts",
@@ -117,18 +131,19 @@ class Ledger:
     def update(self, versions: DataFrame, rules: Sequence[Rule] = RULES) -> None:
         """Scan what ``versions`` (a ``text`` column) holds and the ledger lacks, per rule.
 
-        Rules that lack the same blobs are scanned together; on a first run that is one scan.
+        A blob is scanned once, with all rules it lacks.
         """
         texts = versions.select(address().alias("blob"), text_or_empty().alias("text"))
-        blobs = texts.dropDuplicates(["blob"])
         if not self.exists():
-            scan_blobs(blobs, rules).write.parquet(self.path)
+            scan_blobs(texts.dropDuplicates(["blob"]), rules).write.parquet(self.path)
             return
-        for rule in rules:
-            seen = self.rows().where(
-                (F.col("kind") == rule.kind) & (F.col("version") == rule.version)).select("blob")
-            unseen = texts.join(seen, "blob", "left_anti").dropDuplicates(["blob"])
-            scan_blobs(unseen, [rule]).write.mode("append").parquet(self.path)
+        seen = self.rows().groupBy("blob").agg(
+            F.collect_set(F.struct("kind", "version")).alias("seen"))
+        unseen = texts.join(seen, "blob", "left").selectExpr(
+            "blob", "text", f"array_except({_pairs(rules)}, coalesce(seen, CAST(array() AS"
+            " array<struct<kind: string, version: int>>))) AS missing").where(
+                "size(missing) > 0").dropDuplicates(["blob"])
+        scan_blobs(unseen, rules).write.mode("append").parquet(self.path)
 
     def findings(self, rules: Sequence[Rule] = RULES) -> DataFrame:
         """Per blob with any finding: ``spans``, an array of (start, end, kind, order of kind)."""
@@ -160,6 +175,7 @@ def redact(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES,
     """``docs`` with every found span replaced by ``mask``; overlapping spans are one."""
     ledger.update(docs, rules)
     blob, spans = fresh(docs, "_blob"), fresh(docs, "_spans")
+    cut = fresh(docs, "_cut")
     found = ledger.findings(rules).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
     columns = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     joined = docs.withColumn(blob, address()).join(found, blob, "left")
@@ -171,10 +187,10 @@ def redact(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES,
                concat(s.kept, array(struct(s.reach AS a, x.start AS z))), s.kept) AS kept,
             greatest(s.reach, x.end) AS reach))"""
     redacted = f"""CASE WHEN `{spans}` IS NULL THEN text ELSE concat(
-        array_join(transform(`{spans}_cut`.kept,
+        array_join(transform(`{cut}`.kept,
                              k -> concat(substring(text, int(k.a + 1), int(k.z - k.a)),
                                          '{mask}')), ''),
-        substring(text, int(`{spans}_cut`.reach + 1))) END"""
-    return joined.withColumn(f"{spans}_cut", F.expr(stretches)).withColumn(
+        substring(text, int(`{cut}`.reach + 1))) END"""
+    return joined.withColumn(cut, F.expr(stretches)).withColumn(
         "text", F.expr(redacted)).select(
             *[F.col("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
