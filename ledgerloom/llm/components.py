@@ -16,7 +16,8 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, of every node of ``edges`` (a, b).
 
-    Nodes without an edge to another node are left out. The rounds are stored, so a lost executor
+    Nodes without an edge to another node are left out, so no edges give no rows; repeated edges and
+    loops change nothing, and edges with a null end are none. The rounds are stored, so a lost executor
     costs a re-read; per-node minima are combined before they are shuffled.
     """
     now = materialize(
