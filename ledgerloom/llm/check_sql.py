@@ -5,9 +5,26 @@ Tokenising, sketches and CRC-32 sums are not expressible; those queries have bru
 
 from __future__ import annotations
 
-from ledgerloom.llm.quality import RULES
-from ledgerloom.llm.secrets import BASE
-from ledgerloom.llm.secrets import RULES as SECRET_RULES
+# Kind, pattern, decisive group and its least length, by the contract's words; then the added kinds.
+SECRETS = (
+    ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
+               r"([A-Za-z0-9+/_.=-]+)", 2, 8),
+    ("access", r"AKIA[A-Z0-9]+", 0, 16),
+    ("hex", r"[0-9a-f]+", 0, 32),
+    ("bearer", r"[Bb]earer\x20+([A-Za-z0-9._~+/-]{20,}=*)", 0, 0),
+    ("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+)
+BASE = [kind for kind, *_ in SECRETS[:3]]
+
+# When each quality rule fails, in the order of its bit.
+FAILS = (
+    "n_words < 50",
+    "100 * n_repeat_words > 50 * n_words",
+    "10 * n_symbols > word_chars",
+    "100 * n_dup_lines > 50 * n_lines",
+    "word_chars < 2 * n_words OR word_chars > 25 * n_words",
+)
 
 WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -90,19 +107,19 @@ FROM texts LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)
 def _secret_parts() -> str:
     """One relation of (doc_id, kind, rank, s, e) per rule: running lengths of gaps and matches."""
     parts = []
-    for rank, rule in enumerate(SECRET_RULES):
-        pattern = rule.pattern.replace("'", "''")
+    for rank, (kind, pattern, group, least) in enumerate(SECRETS):
+        pattern = pattern.replace("'", "''")
         parts.append(f"""
-    SELECT doc_id, '{rule.kind}' AS kind, {rank} AS rank, e - length(m) AS s, e FROM (
+    SELECT doc_id, '{kind}' AS kind, {rank} AS rank, e - length(m) AS s, e FROM (
         SELECT doc_id, m, d, sum(length(p) + length(m)) OVER (
             PARTITION BY doc_id ORDER BY i) AS e
         FROM (SELECT doc_id, i, matches[i] AS m, groups[i] AS d, pieces[i] AS p
               FROM (SELECT doc_id, regexp_split_to_array(t, '{pattern}') AS pieces,
                            regexp_extract_all(t, '{pattern}', 0) AS matches,
-                           regexp_extract_all(t, '{pattern}', {rule.group}) AS groups
+                           regexp_extract_all(t, '{pattern}', {group}) AS groups
                     FROM texts WHERE regexp_matches(t, '{pattern}')),
                    unnest(range(1, len(matches) + 1)) AS r(i))
-    ) WHERE length(d) >= {rule.least}""")
+    ) WHERE length(d) >= {least}""")
     return " UNION ALL ".join(parts)
 
 
@@ -111,14 +128,14 @@ WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 spans AS ({_secret_parts()}),
 listed AS (
     SELECT doc_id,
-           {", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in BASE)},
+           {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in BASE)},
            string_agg(concat(kind, ':', CAST(s AS BIGINT), ':', CAST(e AS BIGINT)), ','
                       ORDER BY s, rank) FILTER (WHERE rank < {len(BASE)}) AS base,
            string_agg(concat(kind, ':', CAST(s AS BIGINT), ':', CAST(e AS BIGINT)), ','
                       ORDER BY s, rank) AS every
     FROM spans GROUP BY doc_id
 )
-SELECT doc_id, {", ".join(f"CAST(coalesce(n_{r.kind}, 0) AS BIGINT) AS n_{r.kind}" for r in BASE)},
+SELECT doc_id, {", ".join(f"CAST(coalesce(n_{k}, 0) AS BIGINT) AS n_{k}" for k in BASE)},
        sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
 FROM texts LEFT JOIN listed USING (doc_id)
 """
@@ -150,7 +167,7 @@ measured AS (
 rated AS (SELECT *, coalesce(chars_, 0) AS word_chars FROM measured),
 ledger AS (
     SELECT *, {" + ".join(f"CASE WHEN {fails} THEN {1 << i} ELSE 0 END"
-                          for i, fails in enumerate(RULES.values()))} AS bits
+                          for i, fails in enumerate(FAILS))} AS bits
     FROM rated
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
