@@ -308,15 +308,33 @@ def _in_two_steps(m: Models, df: DataFrame, path: str) -> Iterator[None]:
     yield
 
 
-def _ledger_state_health(m: Models) -> DataFrame:
-    """Inventory health from the ledger's state, brought up to date for changed and new days."""
-    daily = m.stored_daily().select("order_date", "product_id", "units_sold")
+def _ledger_state(m: Models) -> LedgerState:
+    """The ledger's state of all products, brought up to date for changed and new days."""
+    daily = m.stored_daily().select(
+        "order_date", "product_id", F.col("units_sold").cast("bigint").alias("units_sold"),
+        F.col("revenue").cast("decimal(28,2)").alias("revenue"))
     path = scratch(m, "sales_by_day")
-    state = LedgerState(m.spark, scratch(m, "ledger_state"), path,
-                        "order_date date, product_id string, units_sold bigint", PARAMS)
-    for _ in _in_two_steps(m, daily.withColumn("units_sold", F.col("units_sold").cast("bigint")), path):
+    state = LedgerState(
+        m.spark, scratch(m, "ledger_state"), path,
+        "order_date date, product_id string, units_sold bigint, revenue decimal(28,2)", PARAMS)
+    for _ in _in_two_steps(m, daily, path):
         state.refresh()
-    return state.health(m.attributes())
+    return state
+
+
+def _ledger_state_health(m: Models) -> DataFrame:
+    return _ledger_state(m).health(m.attributes())
+
+
+def _dq_ledger_product(m: Models) -> DataFrame:
+    """Checks of the ledger and the health mart of all products, from the ledger's state."""
+    state, attributes = _ledger_state(m), materialize(m.attributes(), "product_attributes")
+    own = {name: [c for c in model_checks(PARAMS) if c.model == name]
+           for name in ("int_inventory_position", "mart_inventory_health")}
+    ledger = state.checks(own["int_inventory_position"], attributes)
+    health = materialize(state.health(attributes), "product_health")
+    return ledger.unionByName(checks.run_checks(
+        "model", {"mart_inventory_health": health}, own["mart_inventory_health"]))
 
 
 def _dq_fact_by_day(m: Models) -> DataFrame:
@@ -485,6 +503,7 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "dq_raw_gate": _raw_results,
     "dq_model_tests": _model_results,
     "dq_fact_by_day": _dq_fact_by_day,
+    "dq_ledger_product": _dq_ledger_product,
     "dq_summary": lambda m: checks.summary(_model_results(m)),
     "source_freshness": lambda m: marts.source_freshness(
         m.raw("orders"), AS_OF, PARAMS.freshness_warn_hours, PARAMS.freshness_error_hours),
