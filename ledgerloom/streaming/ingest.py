@@ -3,9 +3,9 @@
 A file-source stream finds new files. Each file is checked against its table's contract; a file that
 breaks it goes to the quarantine and lands nothing, whatever else its batch holds and whatever comes
 later. The others join the list of accepted files, which is a version of its own
-(``sinks/manifest.py``) with the batch number, and the business days they touch are landed again from the
-accepted files. Landing replaces whole days, so a batch that is repeated lands nothing twice, and after
-all files the lake is that of a batch run over them.
+(``sinks/manifest.py``), and the business days they touch are landed again from the accepted files.
+A file counts once, so a repeated batch does nothing; one that died half-way lands whole days anew. After all
+files the lake is that of a batch run over them. A mended file needs a new name.
 """
 
 from __future__ import annotations
@@ -22,9 +22,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.plans import daily_run
 from ledgerloom.plans.daily_run import Job, Window
 from ledgerloom.sinks import manifest
+from ledgerloom.sinks.tables import hadoop_path
 from ledgerloom.sources import contracts, files, lake
 
-BATCH = "batch"
+# Noted for files that broke their contract or belong to no table.
+SET_ASIDE = "none"
 # The columns of the file source; the content is never read.
 NAMES = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -78,15 +80,22 @@ def _days_of_lines(job: Job, lines: DataFrame) -> dt.date | None:
     return found.agg(F.min(files.event_date())).first()[0]
 
 
+def _qualified(job: Job, path: str) -> str:
+    """One way to write a file's place, so that a known file is known however it is named."""
+    target, fs = hadoop_path(job.spark, path)
+    return fs.makeQualified(target).toString()
+
+
 def land_files(job: Job, paths: Sequence[str], number: int) -> Window | None:
     """Accept a batch of files and land the days they touch; return these, if any."""
     spark = job.spark
     with manifest.writing(spark, accepted_path(job), f"batch {number}") as draft:
         known = dict(draft.base.facts)  # file: table and days
-        if number <= int(known.pop(BATCH, -1)):
-            return None
         run_id = f"stream-{number:08d}"
-        fresh = accept(job, [p for p in paths if p not in known], run_id)
+        names = {_qualified(job, p) for p in paths} - known.keys()
+        if not names:
+            return None  # a batch that is repeated
+        fresh = accept(job, sorted(names), run_id)
         starts: list[dt.date] = []
         for path in fresh.get("orders", ()):
             orders = _read(job, "orders", [path])
@@ -95,13 +104,13 @@ def land_files(job: Job, paths: Sequence[str], number: int) -> Window | None:
                 daily_run.set_aside_unreadable(job, orders, first or job.clock().date(), run_id)
             known[path] = f"orders {first or ''} {last or ''}"
             starts += [first] if first else []
-        for table, names in fresh.items():
+        for table, found in fresh.items():
             if table != "orders":
-                known |= {name: f"{table}  " for name in names}
+                known |= {path: f"{table}  " for path in found}
         window = _window(job, known, fresh, starts)
         if window is not None:
             daily_run.land_window(job, _sources(job, known, window), window)
-        draft.publish({}, known | {BATCH: str(number)})
+        draft.publish({}, {path: f"{SET_ASIDE}  " for path in names} | known)
         return window
 
 
@@ -137,7 +146,7 @@ def _sources(job: Job, known: Mapping[str, str], window: Window) -> dict[str, Da
     wanted = {t: [] for t in contracts.CONTRACTS}
     for path, note in known.items():
         table = note.split(" ")[0]
-        if table != "orders" or path in spans and spans[path][1] >= first:
+        if table in wanted and (table != "orders" or path in spans and spans[path][1] >= first):
             wanted[table].append(path)
     return {table: _read(job, table, paths) for table, paths in wanted.items()}
 
