@@ -122,3 +122,27 @@ def test_status_ladder(spark):
 def test_spine(spark, days, want):
     daily = frame(spark, {("a", 0): 1, ("a", days - 1): 1})
     assert inventory.date_spine(daily).count() == want
+
+
+def test_stock_is_worked_out_per_run_of_days_not_per_day(spark):
+    """A product's md5 is read for runs between sales and restocks; days are made after that."""
+    daily = frame(spark, {("a", 0): 1, ("a", 300): 1, ("b", 20): 2})
+    plan = inventory.inventory_position(daily, PARAMS)._jdf.queryExecution().optimizedPlan().toString()
+    days = plan.index("Generate explode(CASE WHEN (_from")
+    assert "md5" in plan[days:] and "md5" not in plan[:days]
+
+
+def test_ledger_of_sales_without_a_day_or_product(spark):
+    """Sales without a day make the days up to the product's first dated sale, at their own units."""
+    sold = spark.createDataFrame(
+        [(None, "a", 3), (D0 + dt.timedelta(days=16), "a", 1), (D0, None, 2), (D0, "b", 1)],
+        "order_date date, product_id string, units_sold bigint").selectExpr(
+        "*", "CAST(units_sold AS decimal(28,2)) AS revenue")
+    found = inventory.inventory_position(
+        sold.selectExpr("*", "'c' AS category_pt", "'e' AS category_en"), PARAMS)
+    a = [(r["inv_date"], r["units_sold"], r["cum_units"]) for r in
+         found.filter("product_id = 'a'").collect()]
+    undated = [(D0 + dt.timedelta(days=n), 0, 3) for n in range(16)]
+    dated = [(D0 + dt.timedelta(days=n), int(n == 16), 4 * (n == 16)) for n in range(17)]
+    assert sorted(a) == sorted(undated + dated)
+    assert found.filter("product_id IS NULL").count() == found.filter("product_id = 'b'").count() == 17
