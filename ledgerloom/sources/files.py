@@ -12,6 +12,12 @@ from ledgerloom.functions import parse_date
 
 EVENT_TIME = "order_purchase_timestamp"
 
+# Files up to this size are read by one task.
+WHOLE_BYTES = 64 << 20
+# A line that is one record: fields quoted, with the quotes in them doubled, or without quotes.
+_FIELD = r'(?:"[^"\r]*+(?:""[^"\r]*+)*+"|[^",\r]*+)'
+RECORD = rf"^{_FIELD}(?:,{_FIELD})*+\z"
+
 # File name pattern of each source table below the source directory.
 SOURCE_FILES = {
     "orders": "*orders_dataset.csv",
@@ -61,20 +67,37 @@ def read_headers(spark: SparkSession, directory: str, table: str,
     return headers_of(spark, source_paths(spark, directory, table, files))
 
 
+def _length(spark: SparkSession, path: str) -> int:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).getLen()
+
+
+def splittable(spark: SparkSession, path: str) -> bool:
+    """Whether every line of a file is a record of its own, so that tasks can share the file.
+
+    A quoted value that holds a line break leaves a line whose quotes do not pair up. Stray quotes, blank
+    lines and carriage returns count as not splittable, as the two ways of reading may differ there.
+    """
+    odd = ~F.col("value").rlike(RECORD) | F.col("value").rlike(r"^\s+$")
+    return spark.read.option("lineSep", "\n").text(path).filter(odd).isEmpty()
+
+
 def read_files(spark: SparkSession, headers: Mapping[str, tuple[str, ...]],
                multi_line: bool = True) -> DataFrame:
     """Files of one table, given with their headers.
 
     No schema is given: Spark would bind it by position and hide a changed header from the
     contract check. Files whose headers differ are read apart and united by name. Only empty text
-    is null; ``NA`` stays text. Quoted line breaks are part of a value, so a file is read by one
-    task; where no value has any, ``multi_line=False`` lets Spark split large files.
+    is null; ``NA`` stays text. Quoted line breaks are part of a value, so a file that has any is read
+    by one task. Files of more than ``WHOLE_BYTES`` are looked through first, and split if they have
+    none; where no value has any, ``multi_line=False`` saves that.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
     for path, header in headers.items():
-        groups.setdefault(header, []).append(path)
-    reader = _reader(spark, header=True, multi_line=multi_line)
-    parts = [reader.csv(paths) for paths in groups.values()]
+        whole = multi_line and not (_length(spark, path) > WHOLE_BYTES and splittable(spark, path))
+        groups.setdefault((header, whole), []).append(path)
+    parts = [_reader(spark, header=True, multi_line=whole).csv(paths)
+             for (_, whole), paths in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
