@@ -13,9 +13,8 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.dedup import latest_wins
 from ledgerloom.sinks import manifest
-from ledgerloom.sinks.buckets import BUCKETS, Buckets, bucket_of
+from ledgerloom.sinks.buckets import BUCKETS, Buckets
 
 SCHEMA = "order_id string, order_date date, _ingest_date string, _loaded_at string"
 LEFT = "left"
@@ -38,26 +37,17 @@ class OrderDays:
         table = self.table
         with manifest.writing(table.spark, table.path) as draft:
             count = table.stored_count(draft.base)
-            rows = latest_wins(orders.select("order_id", "order_date", "_ingest_date", "_loaded_at"),
-                               table.keys, ("order_date",)).persist()
-            try:
-                stored = table.read(draft.base, table.touched(rows, count))
-                both = stored.withColumn("_stored", F.lit(1)).unionByName(
-                    rows.withColumn("_stored", F.lit(0)))
-                merged = latest_wins(both, table.keys, ("order_date", "_stored"))
-                then = stored.select("order_id", F.col("order_date").alias("_then"))
-                fresh = merged.filter("_stored = 0").join(then, "order_id", "left").persist()
-                changed = table.touched(fresh, count)
-                if not changed:
-                    return
-                days = {r[0].isoformat() for r in fresh.filter("_then <> order_date").select(
-                    "_then").distinct().collect()}
-                new = merged.filter(bucket_of(table.keys, count).isin(changed)).drop("_stored")
-                parts = table.write(draft, new, changed, count)
-                draft.publish(parts, {"buckets": str(count), LEFT: " ".join(
-                    sorted(days | set(draft.base.facts.get(LEFT, "").split())))})
-            finally:
-                rows.unpersist()
+            newer = table.newer(draft, orders.select(
+                "order_id", "order_date", "_ingest_date", "_loaded_at"), ("order_date",))
+            changed = table.touched(newer, count)
+            if not changed:
+                return
+            then = table.read(draft.base, changed).select("order_id", F.col("order_date").alias("_then"))
+            days = {r[0].isoformat() for r in newer.join(then, "order_id").filter(
+                "_then <> order_date").select("_then").distinct().collect()}
+            parts = table.replace(draft, newer, changed)
+            draft.publish(parts, {"buckets": str(count), LEFT: " ".join(
+                sorted(days | set(draft.base.facts.get(LEFT, "").split())))})
 
     def rebuilt(self, days: Collection[dt.date]) -> None:
         """Strike off days that were rebuilt."""

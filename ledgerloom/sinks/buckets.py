@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.dedup import latest_wins
+from ledgerloom.operators.materialize import materialize
 from ledgerloom.sinks import manifest
 from ledgerloom.sinks.tables import hadoop_path
 
@@ -65,6 +66,26 @@ class Buckets:
         found = rows.select(bucket_of(self.keys, count).alias(BUCKET)).distinct().collect()
         return sorted(r[0] for r in found)
 
+    def newer(self, draft: manifest.Draft, batch: DataFrame, ties: Sequence[str]) -> DataFrame:
+        """The batch's newest row per key where it beats the stored one, stored as a table.
+
+        The batch is stored as it came: one shuffle then serves its own versions and the stored rows.
+        """
+        batch = materialize(batch, "bucket_batch")
+        stored = self.read(draft.base, self.touched(batch, self.stored_count(draft.base)))
+        both = stored.withColumn("_stored", F.lit(1)).unionByName(batch.withColumn("_stored", F.lit(0)))
+        return materialize(latest_wins(both, self.keys, (*ties, "_stored")).filter(
+            "_stored = 0").drop("_stored"), "bucket_newer")
+
+    def replace(self, draft: manifest.Draft, newer: DataFrame, changed: Iterable[int]
+                ) -> dict[str, str]:
+        """Write the ``changed`` buckets with the rows of ``newer`` in place of those of their keys."""
+        keys = newer.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(self.keys)])
+        # A null key is a key like others.
+        same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(self.keys)]
+        rows = self.read(draft.base, changed).join(keys, same, "left_anti").unionByName(newer)
+        return self.write(draft, rows, changed, self.stored_count(draft.base))
+
     def merge_latest(self, batch: DataFrame, ties: Sequence[str], owner: str = "") -> list[int]:
         """Keep the newest of the stored rows and the batch's per key; return the buckets rewritten.
 
@@ -72,20 +93,11 @@ class Buckets:
         """
         with manifest.writing(self.spark, self.path, owner) as draft:
             count = self.stored_count(draft.base)
-            batch = latest_wins(batch, self.keys, ties).persist()
-            try:
-                touched = self.touched(batch, count)
-                stored = self.read(draft.base, touched)
-                both = stored.withColumn("_stored", F.lit(1)).unionByName(
-                    batch.withColumn("_stored", F.lit(0)))
-                merged = latest_wins(both, self.keys, (*ties, "_stored"))
-                changed = self.touched(merged.filter("_stored = 0"), count)
-                if changed:
-                    rows = merged.filter(bucket_of(self.keys, count).isin(changed)).drop("_stored")
-                    draft.publish(self.write(draft, rows, changed, count), {"buckets": str(count)})
-                return changed
-            finally:
-                batch.unpersist()
+            newer = self.newer(draft, batch, ties)
+            changed = self.touched(newer, count)
+            if changed:
+                draft.publish(self.replace(draft, newer, changed), {"buckets": str(count)})
+            return changed
 
     def rebucket(self, count: int, owner: str = "") -> None:
         """Deal all rows to ``count`` buckets."""

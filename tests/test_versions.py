@@ -12,9 +12,9 @@ from ledgerloom.operators.history import apply_snapshot, empty_history
 from ledgerloom.params import Params
 from ledgerloom.plans import inventory
 from ledgerloom.plans.ledger_state import LedgerState
-from ledgerloom.plans.model_checks import mart_checks
+from ledgerloom.plans.model_checks import mart_checks, model_checks
 from ledgerloom.plans.order_days import OrderDays
-from ledgerloom.sinks import manifest
+from ledgerloom.sinks import buckets, manifest
 from ledgerloom.sinks.buckets import Buckets
 from ledgerloom.sinks.day_state import DayState, fingerprints
 from ledgerloom.sinks.history_table import CLOSED_PARTS, HistoryTable
@@ -321,3 +321,47 @@ def test_days_that_orders_leave(spark, tmp_path):
         ("o1", 31), ("o2", 5), ("o9", 1)]
     index.rebuilt([DAY])
     assert index.left() == [DAY + dt.timedelta(days=30)]
+
+
+def test_a_batch_is_ranked_once_with_the_stored_rows(spark, rows, tmp_path, monkeypatch):
+    """Also by the index of order days; and a row with a null key is replaced, not doubled."""
+    calls, real = [], buckets.latest_wins
+    monkeypatch.setattr(buckets, "latest_wins", lambda *a, **k: calls.append(1) or real(*a, **k))
+    table = Buckets(spark, str(tmp_path / "t"), KEYS, ("id",), 4)
+
+    def merge(*found):
+        return table.merge_latest(spark.createDataFrame(
+            [(k, v, at, "x") for k, v, at in found], KEYS), ("value",))
+
+    merge((None, "a", "2020-01-01"), ("k", "a", "2020-01-01"), ("k", "b", "2020-01-02"))
+    merge((None, "c", "2020-01-03"), (None, "b", "2020-01-02"))
+    assert len(calls) == 2
+    assert {(r["id"], r["value"]) for r in table.read().collect()} == {(None, "c"), ("k", "b")}
+    assert table.read().count() == 2
+    index = OrderDays(spark, str(tmp_path / "days"), 4)
+    schema = "order_id string, order_date date, _ingest_date string, _loaded_at string"
+    for day, at in ((0, "1"), (9, "2")):
+        index.update(spark.createDataFrame(
+            [(o, DAY + dt.timedelta(days=day), at, "x") for o in ("o1", None)], schema))
+    assert len(calls) == 4 and index.left() == [DAY] and index.table.read().count() == 2
+
+
+def test_suspects_take_the_md5_of_a_product_once_a_row(spark, tmp_path):
+    schema = "order_date date, product_id string, units_sold bigint, revenue decimal(28,2)"
+    source = str(tmp_path / "daily")
+    # Some products have less stock than they sell on the first day.
+    sold = [(DAY, f"p{i}", 500) for i in range(20)] + [(DAY + dt.timedelta(days=40), "p0", 1)]
+    daily = spark.createDataFrame(sold, "order_date date, product_id string, units_sold bigint").selectExpr(
+        "*", "CAST(1 AS decimal(28,2)) AS revenue")
+    write_days(daily, source, "order_date")
+    state = LedgerState(spark, str(tmp_path / "state"), source, schema, Params())
+    state.refresh()
+    own = [c for c in model_checks(Params()) if c.model == "int_inventory_position"]
+    found = state.suspects(own)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5") == 1
+    attributes = spark.createDataFrame([], "product_id string, category_pt string, category_en string")
+    bad = inventory.inventory_position(daily, Params(), attributes).filter(
+        "on_hand_units < 0 OR sell_through_rate NOT BETWEEN 0 AND 1").select("product_id")
+    assert 0 < found.count() < 20
+    assert {r[0] for r in found.collect()} == {r[0] for r in bad.collect()}
