@@ -92,13 +92,8 @@ class LedgerState:
         return inventory.health(inventory.position_of_totals(
             totals, *self._span(version), self.params, attributes))
 
-    def checks(self, checks: Sequence[Check], attributes: DataFrame,
-               warn_only: Sequence[str] = (), suite: str = "model") -> DataFrame:
-        """Results of checks on the dense ledger, whose rows are made for suspect products only.
-
-        A product is suspect if the ledger breaks a check on the last day of an interval, or if its
-        units ever shrink; for all others no day can break one.
-        """
+    def suspects(self, checks: Sequence[Check]) -> DataFrame:
+        """Products for which the ledger can break a check on some day."""
         version = manifest.newest(self.spark, self.path)
         first, last = self._span(version)
         step = self.params.restock_interval_days
@@ -114,9 +109,21 @@ class LedgerState:
         for check in checks:
             if check.kind == "row":
                 broken = broken | F.coalesce(check.bad(), F.lit(False))
-        suspects = inventory.ledger(ends, self.params).filter(broken).select("product_id").distinct()
+        # A filter on the ledger itself would repeat its expressions, the md5 too, in every condition.
+        return inventory.ledger(ends, self.params).groupBy("product_id").agg(
+            F.bool_or(broken).alias("_broken")).filter("_broken").select("product_id")
+
+    def checks(self, checks: Sequence[Check], attributes: DataFrame,
+               warn_only: Sequence[str] = (), suite: str = "model") -> DataFrame:
+        """Results of checks on the dense ledger, whose rows are made for suspect products only.
+
+        A product is suspect if the ledger breaks a check on the last day of an interval, or if its
+        units ever shrink; for all others no day can break one.
+        """
+        suspects = self.suspects(checks)
         if suspects.isEmpty():
             return as_results(self.spark, suite, [(c, 0) for c in checks])
+        first, last = self._span(manifest.newest(self.spark, self.path))
         span = F.struct(first.alias("first_day"), last.alias("last_day"))
         dense = inventory.inventory_position(
             self.daily().join(suspects, "product_id", "left_semi"), self.params, attributes, span)
