@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import checks, slicing
 from ledgerloom.operators.conform import conform
 from ledgerloom.operators.dedup import latest_wins
+from ledgerloom.operators.materialize import materialize
 from ledgerloom.operators.upsert import trailing_start, upsert
 from ledgerloom.params import Params
 from ledgerloom.plans import marts, sales, staging
@@ -350,7 +351,7 @@ def rebuild_days(job: Job, days: Collection[dt.date], attributes: DataFrame,
     def of_days(df: DataFrame) -> DataFrame:
         return df.filter(F.col("order_date").isin(list(days)))
 
-    headers = of_days(staging.order_headers(raw("orders")))
+    headers = materialize(of_days(staging.order_headers(raw("orders"))), "day_headers")
     index = order_days(job)
     if index.exists():
         headers = index.counting(headers)
