@@ -3,7 +3,8 @@
 1. ``build_index`` stores postings: a row is the index of a block of whole documents, with the
    distinct words of the block and, word by word, the ascending positions at which they stand.
    Blocks hold about BLOCK_BYTES of text, so the index is spread by documents: no word's list spans
-   tasks, however frequent the word is, and nothing is shuffled.
+   tasks, however frequent the word is, and nothing is shuffled. Numbers and words are kept as bytes
+   and each block is a row group, so a task writes and reads few at a time, however many it has.
 2. Test items become windows of ``words`` consecutive words (items of fewer are one window). Equal
    windows are looked up once. The items are a stated query set, run against all blocks in parts of
    at most about PART_BYTES of text, so what is broadcast does not grow with the benchmark.
@@ -46,8 +47,23 @@ PART_BYTES = 1 << 21
 # Places that are compared at a time.
 PLACES = 1 << 20
 
-_INDEX = ("doc_ids array<long>, bounds array<int>, terms array<string>, lists array<int>,"
-          " positions array<int>")
+# A row is a block: Spark reads a row group at once, and Parquet's writer would first look at the size
+# of its own after 100 rows. Statistics would keep the least and largest value of each until the file ends.
+ROW_GROUPS = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false",
+              "parquet.column.statistics.enabled": "false"}
+
+# The binary columns are 32-bit numbers, except ``terms``: words of these ``lengths``, one after the
+# other. ``positions`` has the words' lists in this order, of these ``counts``.
+_INDEX = ("doc_ids array<long>, bounds binary, terms binary, lengths binary, counts binary,"
+          " positions binary")
+
+
+def _stored(numbers: np.ndarray) -> bytes:
+    return numbers.astype("<i4").tobytes()
+
+
+def _read(stored: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(stored.as_buffer(), "<i4")
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -57,20 +73,20 @@ def build_index(docs: DataFrame) -> DataFrame:
             words, bounds, *_ = split(block.column(1).combine_chunks(), GAPS)
             coded = words.dictionary_encode()
             codes = np.asarray(coded.indices)
-            terms = coded.dictionary.cast(pa.string())
-            lists = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(terms)))])
-            columns = [block.column(0).combine_chunks(), bounds, terms, lists,
-                       np.argsort(codes, kind="stable")]
-            kinds = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32()]
+            terms = coded.dictionary
+            lengths = np.asarray(pc.binary_length(terms))
+            held = [_stored(bounds), terms.buffers()[2][:int(lengths.sum())].to_pybytes(),
+                    _stored(lengths), _stored(np.bincount(codes, minlength=len(terms))),
+                    _stored(np.argsort(codes, kind="stable"))]
             yield pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays([0, len(c)], pa.array(c, kind))
-                 for c, kind in zip(columns, kinds)],
+                [pa.ListArray.from_arrays([0, block.num_rows], block.column(0).combine_chunks()),
+                 *(pa.array([part], pa.binary()) for part in held)],
                 [f.split()[0] for f in _INDEX.split(", ")])
 
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     # The number is stored with the block, so every later read sees the same one.
     return materialize(texts.mapInArrow(run, _INDEX).withColumn(
-        "block", F.monotonically_increasing_id()), "postings")
+        "block", F.monotonically_increasing_id()), "postings", **ROW_GROUPS)
 
 
 class _Windows:
@@ -158,12 +174,13 @@ def _look_up(index: DataFrame, query: _Windows, slack: int) -> DataFrame:
         query = shared.value
         for batch in batches:
             for row in range(batch.num_rows):
-                yield of_block(query, *(batch.column(c)[row] for c in range(6)))
+                yield of_block(query, *(batch.column(c)[row] for c in range(7)))
 
-    def of_block(query, docs, bounds, terms, lists, positions, block) -> pa.RecordBatch:
-        docs, terms, bounds = docs.values, terms.values, np.asarray(bounds.values)
-        lists, positions = np.asarray(lists.values), np.asarray(positions.values)
-        counts = np.diff(lists)
+    def of_block(query, docs, bounds, terms, lengths, counts, positions, block) -> pa.RecordBatch:
+        docs, bounds, counts, positions = docs.values, _read(bounds), _read(counts), _read(positions)
+        lists = np.concatenate([[0], np.cumsum(counts)])
+        ends = np.concatenate([[0], np.cumsum(_read(lengths))]).astype(np.int32)
+        terms = pa.StringArray.from_buffers(len(counts), pa.py_buffer(ends), terms.as_buffer())
         holder = np.empty(len(positions), np.int32)
         holder[positions] = np.repeat(np.arange(len(terms), dtype=np.int32), counts)
         known = np.asarray(pc.index_in(query.terms, value_set=terms).fill_null(-1))

@@ -110,6 +110,35 @@ def test_long_texts(spark, docs):
         1: ([(0, 1_500_000), (1_500_001, 1_500_004)], ["1", "2"]), 2: ([], []), 3: ([(1, 4)], ["2"])}
 
 
+def test_row_groups_of_the_index(spark, docs):
+    """A task with many blocks writes, and so reads again, one at a time."""
+    from urllib.parse import urlparse
+
+    import pyarrow.parquet as pq
+
+    rows = spark.range(0, 300, 1, 1).selectExpr(
+        "id AS doc_id", "array_join(transform(sequence(1, 20000), x -> hex(x * (id + 1))), ' ') AS text")
+    index = decontamination.build_index(rows)
+    stored = [pq.ParquetFile(urlparse(f).path).metadata for f in index.inputFiles()]
+    groups = [m.row_group(g) for m in stored for g in range(m.num_row_groups)]
+    assert len(groups) > 6 and {g.num_rows for g in groups} == {1}
+    assert not any(g.column(c).is_stats_set for g in groups for c in range(g.num_columns))
+    items = rows.where("doc_id = 7").selectExpr(
+        "doc_id AS item_id", "concat_ws(' ', slice(split(text, ' '), 100, 12)) AS text")
+    found = decontamination.phrases(index, items).collect()
+    assert len(found) == 300 and {r.n_words for r in found} == {20000}
+    assert [(r.doc_id, [tuple(s) for s in r.spans], r["items"]) for r in found if r.spans] == [
+        (7, [(99, 111)], ["7"])]
+
+
+def test_blocks_without_words(spark, docs):
+    rows = spark.createDataFrame([(None, None), (1, " .!"), (2, "")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "needle"), (2, "")], "item_id long, text string")
+    found = decontamination.phrases(decontamination.build_index(rows.coalesce(1)), items).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.spans, r["items"]) for r in found) == [
+        ("1", 0, [], []), ("2", 0, [], []), ("None", 0, [], [])]
+
+
 # Collocations
 
 
